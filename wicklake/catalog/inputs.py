@@ -44,7 +44,8 @@ def candles(spark: SparkSession, sf: str, step_ms: int = tm.HOUR_MS, code: str =
         F.max("ts").cast("timestamp").alias("ingest_ts"))
     close_time = F.col("open_time") + step_ms - 1
     return grouped.withColumns({
-        "interval": F.lit(code),
+        # No plain literal: a stored column would not be one either.
+        "interval": F.when(F.col("open_time").isNotNull(), code),
         "close_time": close_time,
         "open_ts": tm.ts_seconds(F.col("open_time")),
         "close_ts": tm.ts_seconds(close_time),

@@ -358,12 +358,12 @@ WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id"""
 ORACLES["backfill_equals_loop"] = CANDLES + f"""
 SELECT {SILVER_OUT} FROM candles WHERE trade_date >= '2024-01-10' AND trade_date < '2024-01-15'"""
 
-ORACLES["daily_chain"] = CANDLES + "," + PAIR + f"""
+ORACLES["daily_chain"] = CANDLES + "," + PAIR + """
 SELECT symbol, '1h' AS interval_code, trade_date, open_time, close_price, number_of_trades,
        'batch_silver' AS data_source, TRUE AS is_final FROM candles WHERE trade_date = '2024-01-15'
 UNION ALL
-SELECT symbol, NULL, trade_date, open_time, close_price, -1, 'speed_hot', FALSE
-FROM src WHERE FALSE"""
+SELECT symbol, '1h', trade_date, open_time, close_price, -1, 'speed_hot', FALSE
+FROM src WHERE open_time >= epoch_ms(TIMESTAMP '2024-01-16')"""
 
 # --- streaming -----------------------------------------------------------------------------------
 

@@ -497,7 +497,7 @@ def backfill_equals_loop(spark, sf):
 
 @query
 def daily_chain(spark, sf):
-    """Pages to bronze, silver and gold for one day; the unified view over the gold tables."""
+    """Pages to bronze, silver and gold for one day, then the stream rows since; the unified view."""
     rows = inputs.candles(spark, sf)
     pages = fresh_dir(spark, "pages")
     inputs.pages(rows).write.json(pages)
@@ -507,7 +507,6 @@ def daily_chain(spark, sf):
     places = jobs.Places(fresh_dir(spark, "bronze"), f"{silver}.kline", gold, hot, pages)
     names = "clickusdt,errorbtc,purchaseusdt,signupusdt,viewusdt"
     jobs.run_day(spark, places, "2024-01-16", "2024-01-17T00:00:00", names, "1h", 24)
-    # The stream tables are loaded as 1m candles, the batch as 1h.
     view = views.kline_unified(*[spark.table(f"{gold}.{t}") for t in (
         "fact_kline", "dim_symbol", "dim_interval", "dim_data_source")])
     return view.select(

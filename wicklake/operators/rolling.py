@@ -17,8 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wicklake.functions.time import whole_div
-
 GROUP = 256
 HISTORY = "_history"
 CHUNK = "_chunk"
@@ -42,7 +40,9 @@ def _carried(tails: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     across = Window.partitionBy(*keys).orderBy("_group").rowsBetween(-n, -1)
     outer = inner.where("_closes").select(
         *keys, "_group", _last(F.flatten(F.collect_list("_upto").over(across)), n).alias("_outer"))
-    joined = inner.join(outer, [*keys, "_group"])
+    # Every group has an outer row. A left join, because an inner one would add not-null filters to one
+    # branch only, and the branches would no longer share their shuffle.
+    joined = inner.join(outer, [*keys, "_group"], "left")
     return joined.select(*keys, CHUNK, _last(F.concat("_outer", "_inner"), n).alias("_before"))
 
 
@@ -53,9 +53,13 @@ def with_history(
 
     `(keys, order)` must be unique and `chunk` must not decrease along `order`. The result is already
     partitioned for windows over `(keys, _chunk)`: the input is shuffled once, tails are a fraction
-    n / (rows per chunk) of it.
+    n / (rows per chunk) of it. Rows without a key or a time belong to no series and are left out; saying
+    so here also keeps the branches below alike, so that they share that one shuffle.
     """
-    parts = df.withColumn(CHUNK, chunk).repartition(*keys, CHUNK)
+    parts = df.withColumn(CHUNK, chunk)
+    for column in (*keys, order, CHUNK):
+        parts = parts.where(F.col(column).isNotNull())
+    parts = parts.repartition(*keys, CHUNK)
     newest = Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc())
     tails = (
         parts.select(*keys, CHUNK, order, *values)
@@ -73,9 +77,8 @@ def with_history(
 
 
 def by_time(order: str, width_ms: Column | int) -> Column:
-    """Chunk number of a row: its time div the width, with the sign kept in order before 1970."""
-    width = width_ms if isinstance(width_ms, Column) else F.lit(width_ms).cast("bigint")
-    return whole_div(F.col(order) - F.pmod(F.col(order), width), width)
+    """Chunk number of a row: its time divided by the width, rounded down."""
+    return F.floor(F.col(order) / width_ms)
 
 
 def frame(keys: Sequence[str], order: str, preceding: int, chunked: bool):

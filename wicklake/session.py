@@ -28,7 +28,10 @@ def spark_session(app: str = "wicklake", master: str | None = None, conf: dict |
     if master:
         builder = builder.master(master)
     # Checkpoint files go away together with the frame they belong to.
-    settings = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true", **RUNTIME, **(conf or {})}
+    # Call-site capture costs two gateway calls for every column expression.
+    settings = {
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false", **RUNTIME, **(conf or {})}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
