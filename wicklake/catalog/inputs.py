@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wicklake.functions import time as tm
@@ -11,6 +13,7 @@ from wicklake.plans import star
 from wicklake.schemas import (
     BRONZE, DIM_DATA_SOURCE, DIM_DATE, DIM_INTERVAL, DIM_PATTERN_TYPE, DIM_SYMBOL, SILVER, STREAM_CANDLE,
 )
+from wicklake.session import staged
 from wicklake.sources.decode import EVENT_FIELDS, PAGE_ELEMENTS
 
 AS_OF = "2024-01-31T00:00:00"
@@ -148,14 +151,28 @@ def stream_rows(rows: DataFrame) -> DataFrame:
 # --- star schema over candles --------------------------------------------------------------------
 
 class Star:
-    """Dimensions built from all candles, starting from empty tables."""
+    """Dimensions built from all candles, starting from empty tables.
+
+    Those that need the candles are written to the shared folder at their first use, as the tables they
+    stand for would be.
+    """
 
     def __init__(self, spark: SparkSession, rows: DataFrame):
-        self.symbol = star.new_symbols(DIM_SYMBOL.empty(spark), rows, AS_OF, EXCHANGE)
-        self.interval = star.new_intervals(DIM_INTERVAL.empty(spark), rows.select(F.col("interval").alias("interval_code")))
-        self.date = star.new_dates(DIM_DATE.empty(spark), rows, "trade_date")
+        self.spark, self.rows = spark, rows
+        self.interval = star.new_intervals(DIM_INTERVAL.empty(spark), star.interval_codes(spark, ["1h"]))
         self.source = star.new_sources(spark, DIM_DATA_SOURCE.empty(spark))
-        self.pattern = star.new_patterns(DIM_PATTERN_TYPE.empty(spark), pattern_alerts(rows))
+
+    @cached_property
+    def symbol(self) -> DataFrame:
+        return staged(star.new_symbols(DIM_SYMBOL.empty(self.spark), self.rows, AS_OF, EXCHANGE))
+
+    @cached_property
+    def date(self) -> DataFrame:
+        return staged(star.new_dates(DIM_DATE.empty(self.spark), self.rows, "trade_date"))
+
+    @cached_property
+    def pattern(self) -> DataFrame:
+        return staged(star.new_patterns(DIM_PATTERN_TYPE.empty(self.spark), pattern_alerts(self.rows)))
 
 
 def batch_facts(rows: DataFrame, dims: Star) -> DataFrame:

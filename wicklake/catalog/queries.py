@@ -17,7 +17,7 @@ from wicklake.plans import jobs, star, views
 from wicklake.schemas import (
     DIM_DATE, DIM_SYMBOL, FACT_ALERT, FACT_INDICATOR, FACT_KLINE, SILVER, STREAM_CANDLE,
 )
-from wicklake.session import configure, fresh_dir
+from wicklake.session import configure, fresh_dir, staged
 from wicklake.sources import bronze as bronze_files, decode, export, tables
 from wicklake.streaming import sinks, speed_layer
 from wicklake.streaming.indicators import stream_indicators as indicators_of
@@ -443,10 +443,9 @@ def vw_daily_market_summary(spark, sf):
 def vw_latest_snapshot(spark, sf):
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
-    values = inputs.indicator_facts(rows, dims, 24 * 60)
+    facts, values = staged(_unified(rows, dims)), staged(inputs.indicator_facts(rows, dims, 24 * 60))
     view = views.latest_snapshot(
-        _unified(rows, dims), dims.symbol, dims.interval, dims.source, values,
-        dims.symbol.count() * dims.interval.count())
+        facts, dims.symbol, dims.interval, dims.source, values, dims.symbol.count() * dims.interval.count())
     return view.select(
         "symbol", "interval_code", "open_time", _ms("open_ts"), "close_price", "volume", "data_source", "is_final",
         *[_r(c) for c in indicators.INDICATOR_COLUMNS])

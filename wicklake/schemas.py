@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Layout:
-    """Column types of one table, how it is partitioned and what identifies a row."""
+    """Column types of one table, how it is partitioned and what identifies a row.
+
+    `small_partitions` says that a partition holds one day of one symbol, so one task can write it.
+    """
 
     columns: tuple[tuple[str, str], ...]
     partition_by: tuple[str, ...] = ()
     key: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
+    small_partitions: bool = False
 
     @property
     def names(self) -> list[str]:
@@ -46,6 +50,7 @@ BRONZE = Layout(
         taker_buy_quote_volume double, is_closed boolean, ingest_ts string, source string"""),
     partition_by=("interval", "symbol", "year", "month", "day"),
     key=("symbol", "interval", "open_time"),
+    small_partitions=True,
 )
 
 SILVER = Layout(
@@ -59,6 +64,7 @@ SILVER = Layout(
     key=("symbol", "interval", "open_time"),
     not_null=("symbol", "interval", "open_time", "close_price"),
     sort_by=("interval", "open_time"),
+    small_partitions=True,
 )
 
 STREAM_CANDLE = Layout(

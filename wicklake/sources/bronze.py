@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wicklake.functions import time as tm
 from wicklake.schemas import BRONZE
 from wicklake.session import runtime_conf
+from wicklake.sources.tables import gathered
 
 _FILE_SCHEMA = BRONZE.ddl + ", year int, month int, day int"
 
@@ -92,7 +93,7 @@ def write_bronze(candles: DataFrame, root: str, overwrite: bool = False) -> None
                 there.select("interval", "symbol", "year", F.col("month").alias("_m"), F.col("day").alias("_d")),
                 ["interval", "symbol", "year", "_m", "_d"], "left_anti")
             .select(*rows.columns))
-    out = rows.hint("rebalance", *[F.col(c) for c in keys])
+    out = gathered(rows, BRONZE)
     mode = "overwrite" if overwrite else "append"
     with runtime_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         out.write.mode(mode).option("compression", "snappy") \

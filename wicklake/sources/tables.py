@@ -48,16 +48,25 @@ def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return spark.table(table).select(*layout.names)
 
 
-def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
-    """Rows in file order: few files per partition, and sorted so that readers can skip row groups.
+def gathered(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows of one partition together, so that a partition gets few files.
 
-    The rebalance hint lets adaptive execution split a partition that is too large for one task.
+    Small partitions are spread over as many tasks as the session shuffles into. Larger ones carry the
+    rebalance hint, with which adaptive execution splits a partition too large for one task.
     """
+    columns = [F.col(c) for c in layout.partition_by]
+    if layout.small_partitions:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(tasks, *columns)
+    return df.hint("rebalance", *columns)
+
+
+def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
+    """Gathered rows, sorted so that readers can skip row groups."""
     if not layout.partition_by:
         return df
-    rows = df.hint("rebalance", *[F.col(c) for c in layout.partition_by])
     sort = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in layout.sort_by]
-    return rows.sortWithinPartitions(*layout.partition_by, *sort)
+    return gathered(df, layout).sortWithinPartitions(*layout.partition_by, *sort)
 
 
 def _insert(df: DataFrame, layout: Layout, table: str, overwrite: bool) -> None:
