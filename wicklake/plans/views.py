@@ -11,6 +11,7 @@ from wicklake.operators.clean import since_hours
 from wicklake.operators.rows import latest_by
 
 BROADCAST_ROWS = 1_000_000
+EARLIEST = -(2**62)
 
 
 def kline_unified(fact: DataFrame, dim_symbol: DataFrame, dim_interval: DataFrame, dim_source: DataFrame) -> DataFrame:
@@ -51,7 +52,10 @@ def latest_snapshot(
         ["date_id", "open_ts", "close_price", "volume", "data_source_id", "is_final", "updated_at"])
     values = indicators.select(*keys, "date_id", "open_time", "sma7", "sma25", "rsi14", "macd", "macd_signal", "macd_hist")
     if series is not None and series <= BROADCAST_ROWS:
-        wanted = latest.select(*keys, tm.utc_date(F.col("open_time")).alias("date_id"), "open_time")
+        # Holds for every row; dynamic partition pruning wants a condition on the filtering side.
+        always = F.col("open_time") > F.lit(EARLIEST)
+        wanted = latest.where(always).select(
+            *keys, tm.utc_date(F.col("open_time")).alias("date_id"), "open_time")
         values = values.join(F.broadcast(wanted), [*keys, "date_id", "open_time"], "left_semi")
     return (
         latest.join(values.drop("date_id"), [*keys, "open_time"], "left")

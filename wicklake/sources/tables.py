@@ -45,6 +45,8 @@ def ensure_hot(spark: SparkSession, namespace: str, provider: str = "parquet") -
 
 
 def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """The table as it is now: a stream writes from a session of its own, which this one cannot notice."""
+    spark.catalog.refreshTable(table)
     return spark.table(table).select(*layout.names)
 
 
