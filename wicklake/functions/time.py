@@ -52,12 +52,10 @@ def as_of_ts(as_of: datetime | str) -> Column:
 
 def interval_seconds(code: Column) -> Column:
     """Seconds of a code such as `1m`, `5m`, `1h`; NULL where the code has no fixed length."""
-    count = F.regexp_extract(code, r"^(\d+)[a-zA-Z]$", 1).try_cast("bigint")
-    unit = F.regexp_extract(code, r"^\d+([a-zA-Z])$", 1)
-    seconds = F.lit(None).cast("bigint")
-    for name, length in reversed(UNIT_SECONDS.items()):
-        seconds = F.when(unit == name, F.lit(length).cast("bigint")).otherwise(seconds)
-    return (count * seconds).cast("int")
+    length = F.create_map(*[F.lit(x) for item in UNIT_SECONDS.items() for x in item])
+    count = F.substr(code, F.lit(1), F.length(code) - 1).try_cast("bigint")
+    seconds = count * F.try_element_at(length, F.right(code, F.lit(1)))
+    return F.when(code.rlike("^[0-9]+[a-zA-Z]$"), seconds).cast("int")
 
 
 def parse_day(day: date | str) -> date:
