@@ -77,7 +77,8 @@ def test_upsert_of_an_unpartitioned_table(spark):
 def test_upsert_reads_only_the_touched_range(spark, target):
     pruned = tables.touched(spark.table(target), rows(spark, (A, "A", 9, 9)), SMALL.partition_by)
     assert {(r.d, r.sym) for r in pruned.collect()} == {(A, "A")}
-    assert "PartitionFilters: [isnotnull(d" in pruned._jdf.queryExecution().executedPlan().toString()
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in text and "dynamicpruning" in text
 
 
 def test_ensure_is_repeatable(spark):
@@ -113,6 +114,8 @@ def test_bronze_round_trip(spark, candles):
     assert back.columns == BRONZE.names
     assert back.exceptAll(first).isEmpty() and first.exceptAll(back).isEmpty()
     assert bronze.existing_partitions(spark, root).count() == 150
+    assert bronze.existing_partitions(spark, root, "1h", "2024-01-10", "2024-01-12").count() == 10
+    assert bronze.existing_partitions(spark, root, "5m", "2024-01-10", "2024-01-12").count() == 0
 
 
 def test_bronze_skips_what_exists_unless_told(spark, candles):

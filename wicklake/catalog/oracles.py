@@ -173,7 +173,7 @@ SELECT symbol, "interval", open_time, close_time, open_time // 1000 * 1000 AS op
        ingest_us, source
 FROM candles WHERE (open_time // 3600000) % 97 <> 0 AND (open_time // 3600000) % 89 <> 0"""
 
-ORACLES["dedup_latest_rows"] = """
+ORACLES["dedup_latest"] = """
 SELECT * EXCLUDE (rn) REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM (
   SELECT *, row_number() OVER (
     PARTITION BY l_orderkey, l_linenumber

@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wicklake.catalog import inputs, tables as scratch
 from wicklake.catalog.inputs import AS_OF
 from wicklake.functions import text, time as tm
-from wicklake.operators import clean, indicators, patterns, summary
+from wicklake.operators import clean, indicators, patterns, rows as by_key, summary
 from wicklake.operators.checks import duplicate_keys, missing_references, not_null_counts
 from wicklake.operators.merge import unify
-from wicklake.operators.rows import dedup_latest, latest_by
 from wicklake.plans import jobs, star, views
 from wicklake.schemas import (
     DIM_DATE, DIM_SYMBOL, FACT_ALERT, FACT_INDICATOR, FACT_KLINE, SILVER, STREAM_CANDLE,
@@ -137,8 +136,8 @@ def silver_clean(spark, sf):
 
 
 @query
-def dedup_latest_rows(spark, sf):
-    rows = dedup_latest(inputs.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+def dedup_latest(spark, sf):
+    rows = by_key.dedup_latest(inputs.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
     return rows.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
@@ -197,7 +196,7 @@ def day_total(spark, sf):
 
 @query
 def latest_per_symbol(spark, sf):
-    return latest_by(
+    return by_key.latest_by(
         inputs.candles(spark, sf), ["symbol", "interval"], "open_time",
         ["close_time", "close_price", "volume", "number_of_trades", "is_closed"])
 

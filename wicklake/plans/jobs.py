@@ -17,7 +17,7 @@ from wicklake.schemas import (
 )
 from wicklake.session import staged
 from wicklake.sources import tables
-from wicklake.sources.bronze import read_bronze, write_bronze
+from wicklake.sources.bronze import existing_partitions, read_bronze, write_bronze
 from wicklake.sources.decode import decode_pages
 from wicklake.streaming.sinks import read_hot
 
@@ -49,7 +49,8 @@ def land_pages(
     candles = decode_pages(wanted, stamp, source)
     low, high = tm.as_of_ms(start.isoformat()), tm.as_of_ms(end.isoformat())
     write_bronze(
-        candles.where((F.col("open_time") >= low) & (F.col("open_time") < high)), bronze, overwrite)
+        candles.where((F.col("open_time") >= low) & (F.col("open_time") < high)), bronze, overwrite,
+        existing_partitions(spark, bronze, interval, start, end))
 
 
 def bronze_to_silver(
@@ -63,7 +64,7 @@ def bronze_to_silver(
     if mode == "bootstrap":
         tables.append(rows, SILVER, silver)
     elif mode == "overwrite-day":
-        tables.replace_day(staged(rows), SILVER, silver, day)
+        tables.replace_day(rows, SILVER, silver, day)
     else:
         tables.upsert(rows, SILVER, silver)
     return summary.day_row_counts(spark.table(silver), day)

@@ -32,9 +32,6 @@ class Layout:
     def empty(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.ddl)
 
-    def only(self, *names: str) -> "Layout":
-        return replace(self, columns=tuple(c for c in self.columns if c[0] in names))
-
 
 def _columns(text: str) -> tuple[tuple[str, str], ...]:
     return tuple(tuple(item.split()) for item in text.replace("\n", " ").split(",") if item.strip())

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wicklake.functions import time as tm
@@ -57,45 +56,47 @@ def read_bronze(
     return files.where((F.col("interval") == interval) & tm.in_day_range(day, start, end)).select(*BRONZE.names)
 
 
-def with_partitions(candles: DataFrame) -> DataFrame:
-    day = tm.utc_date(F.col("open_time"))
-    return candles.select(
-        *BRONZE.names, F.year(day).alias("year"),
-        F.date_format(day, "MM").alias("month"), F.date_format(day, "dd").alias("day"))
-
+def existing_partitions(
+    spark: SparkSession, root: str, interval: str | None = None,
+    start: date | str | None = None, end: date | str | None = None,
+) -> DataFrame:
+    """The partitions that hold files, from the file listing alone; no file is opened.
 
-def existing_partitions(spark: SparkSession, root: str) -> DataFrame:
-    """The partitions that hold files, from the file listing alone; no file is opened."""
+    With an interval and a day range only the folders of the range are listed.
+    """
     keys = list(BRONZE.partition_by)
-    kinds = "symbol string, interval string, year int, month int, day int"
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
-            .option("basePath", root).load(root)
-        if not set(keys) <= set(files.columns):
-            raise AnalysisException("no partitions")
-    except AnalysisException:
-        return spark.createDataFrame([], kinds).select(*keys)
+    if interval is not None:
+        globs = _found(spark, _day_globs(root, interval, *tm.check_range(start, end)))
+    else:
+        globs = [root] if _found(spark, [f"{root}/interval=*"]) else []
+    kinds = "interval string, symbol string, year int, month int, day int"
+    none = spark.createDataFrame([], kinds).select(*keys)
+    if not globs:
+        return none
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
+        .option("basePath", root).load(globs)
+    if not set(keys) <= set(files.columns):  # folders without files
+        return none
     return files.select(
         F.col("interval").cast("string"), F.col("symbol").cast("string"),
         *[F.col(c).cast("int") for c in ("year", "month", "day")]).distinct()
 
 
-def write_bronze(candles: DataFrame, root: str, overwrite: bool = False) -> None:
-    """One file set per interval, symbol and day. A partition that exists is left alone unless `overwrite`."""
+def write_bronze(
+    candles: DataFrame, root: str, overwrite: bool = False, existing: DataFrame | None = None,
+) -> None:
+    """One file set per interval, symbol and day. A partition that exists is left alone unless `overwrite`.
+
+    `existing` are the partitions that are there, if the caller knows where to look.
+    """
     spark = candles.sparkSession
     keys = list(BRONZE.partition_by)
-    rows = with_partitions(candles)
+    day = tm.utc_date(F.col("open_time"))
+    rows = candles.select(*BRONZE.names, F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day"))
     if not overwrite:
-        there = existing_partitions(spark, root)
-        rows = (
-            rows.withColumns({"_m": F.col("month").cast("int"), "_d": F.col("day").cast("int")})
-            .join(
-                there.select("interval", "symbol", "year", F.col("month").alias("_m"), F.col("day").alias("_d")),
-                ["interval", "symbol", "year", "_m", "_d"], "left_anti")
-            .select(*rows.columns))
-    out = gathered(rows, BRONZE)
-    mode = "overwrite" if overwrite else "append"
+        there = existing_partitions(spark, root) if existing is None else existing
+        rows = rows.join(there, keys, "left_anti")
+    padded = rows.withColumns({c: F.lpad(F.col(c).cast("string"), 2, "0") for c in ("month", "day")})
     with runtime_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        out.write.mode(mode).option("compression", "snappy") \
-            .partitionBy(*keys).parquet(root)
-
+        gathered(padded, BRONZE).write.mode("overwrite" if overwrite else "append") \
+            .option("compression", "snappy").partitionBy(*keys).parquet(root)

@@ -17,6 +17,7 @@ from wicklake.operators.merge import absent_rows, merge_rows
 from wicklake.schemas import GOLD, HOT, SILVER, Layout
 from wicklake.session import runtime_conf, staged
 
+BROADCAST_PARTITIONS = 100_000
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -95,12 +96,15 @@ def replace_partitions(df: DataFrame, layout: Layout, table: str) -> None:
 
 
 def replace_day(df: DataFrame, layout: Layout, table: str, day: date | str) -> None:
-    """Replace every partition of one day in a single statement; an empty `df` empties the day."""
+    """Replace every partition of one day in a single statement; an empty `df` empties the day.
+
+    The statement clears the day before it writes, so the new rows are on reliable storage by then.
+    """
     spark = df.sparkSession
     day = parse_day(day)
     first, *rest = layout.partition_by
-    other = df.where(~F.col(first).eqNullSafe(F.lit(day))).select(first)
-    require_empty(other, f"rows outside {day}")
+    df = staged(df.select(*layout.names))
+    require_empty(df.where(~F.col(first).eqNullSafe(F.lit(day))).select(first), f"rows outside {day}")
     columns = [c for c in spark.table(table).columns if c != first]
     spec = ", ".join([f"{first} = DATE '{day}'", *rest])
     with runtime_conf(spark, _MODE, "static"):
@@ -113,14 +117,18 @@ def replace_day(df: DataFrame, layout: Layout, table: str, day: date | str) -> N
 def touched(target: DataFrame, source: DataFrame, parts: Sequence[str]) -> DataFrame:
     """Target rows in the partitions that `source` has rows for.
 
-    The range of the leading partition column is a literal, so it prunes before anything is listed.
+    The range of the leading partition column is a literal, so it prunes before anything is listed. The
+    partitions themselves are counted and broadcast if they are few, which prunes the scan to them.
     """
     lead = parts[0]
-    low, high = source.agg(F.min(lead), F.max(lead)).first()
-    if low is None:
+    places = source.select(*parts).distinct()
+    count, low, high = places.agg(F.count(F.lit(1)), F.min(lead), F.max(lead)).first()
+    if not count:
         return target.where(F.lit(False))
     inside = target.where(F.col(lead).between(F.lit(low), F.lit(high)))
-    return inside.join(source.select(*parts).distinct(), list(parts), "left_semi")
+    if count <= BROADCAST_PARTITIONS:
+        places = F.broadcast(places)
+    return inside.join(places, list(parts), "left_semi")
 
 
 def upsert(

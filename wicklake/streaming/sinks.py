@@ -16,7 +16,6 @@ from wicklake.operators.clean import on_day
 from wicklake.operators.patterns import pattern_alerts
 from wicklake.operators.rows import first_row
 from wicklake.schemas import HOT, STREAM_ALERT, STREAM_CANDLE, STREAM_INDICATOR, Layout
-from wicklake.session import staged
 from wicklake.sources import tables
 
 PLAIN = {"candle": STREAM_CANDLE, "alert": STREAM_ALERT, "indicator": STREAM_INDICATOR}
@@ -72,7 +71,7 @@ def read_hot(
 def compact(spark: SparkSession, hot: str, name: str, day: date | str) -> None:
     """Keep only the newest entries of one day."""
     log = on_day(tables.read_table(spark, HOT[name], f"{hot}.{name}"), day)
-    tables.replace_day(staged(newest(log, name)), HOT[name], f"{hot}.{name}", day)
+    tables.replace_day(newest(log, name), HOT[name], f"{hot}.{name}", day)
 
 
 def raw_and_alerts(hot: str, as_upsert: bool = False):
