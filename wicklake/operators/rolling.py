@@ -81,7 +81,6 @@ def by_time(order: str, width_ms: Column | int) -> Column:
     return F.floor(F.col(order) / width_ms)
 
 
-def frame(keys: Sequence[str], order: str, preceding: int, chunked: bool):
-    """Current row and `preceding` rows before it."""
-    partition = [*keys, CHUNK] if chunked else list(keys)
-    return Window.partitionBy(*partition).orderBy(order).rowsBetween(-preceding, 0)
+def series_window(keys: Sequence[str], order: str, chunked: bool):
+    """Rows of a series (or of one chunk of it, with its history) in time order."""
+    return Window.partitionBy(*keys, *([CHUNK] if chunked else [])).orderBy(order)
