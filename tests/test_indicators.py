@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from wicklake.operators import indicators, rolling
 from wicklake.session import runtime_conf
-from wicklake.streaming.indicators import indicator_values
+from wicklake.streaming.indicators import LENGTHS
+from wicklake.streaming.processor import indicator_values
 
 COLUMNS = indicators.INDICATOR_COLUMNS
 
@@ -120,7 +121,7 @@ def test_duplicated_closed_candle_counts_once(spark):
 
 def test_stream_values_equal_batch(spark):
     closes = [c for c in LONG] + [None, 101.0, 99.5, None, 98.0]
-    got = indicator_values(np.array([np.nan if c is None else c for c in closes]))
+    got = indicator_values(np.array([np.nan if c is None else c for c in closes]), LENGTHS)
     batch = collected(indicators.technical_indicators(series(spark, closes)))
     for i, row in enumerate(batch):
         for name, want in zip(COLUMNS, row[3:]):

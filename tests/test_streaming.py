@@ -6,11 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from wicklake.catalog import inputs, tables as scratch
-from wicklake.operators.indicators import closed_candles, technical_indicators
+from wicklake.operators.indicators import technical_indicators
 from wicklake.session import fresh_dir
 from wicklake.sources import tables
 from wicklake.streaming import sinks, speed_layer
-from wicklake.streaming.indicators import stream_indicators
 from wicklake.streaming.source import read_candle_stream
 
 NOW = {"availableNow": True}
@@ -38,16 +37,12 @@ def hot_namespace(spark):
 
 def run_indicators(spark, folder, hot, state, per_trigger=1):
     stream = read_candle_stream(spark, "text", {"path": folder, "maxFilesPerTrigger": str(per_trigger)})
-    query = stream_indicators(stream).writeStream.outputMode("append").foreachBatch(sinks.indicators(hot)).option(
-        "checkpointLocation", state).trigger(**NOW).start()
-    query.awaitTermination()
+    speed_layer.drain([speed_layer.start_indicators(stream, hot, state, NOW)])
 
 
 def run_raw(spark, folder, hot, state, as_upsert=False, per_trigger=1):
     stream = read_candle_stream(spark, "text", {"path": folder, "maxFilesPerTrigger": str(per_trigger)})
-    query = stream.writeStream.foreachBatch(sinks.raw_and_alerts(hot, as_upsert)).option(
-        "checkpointLocation", state).trigger(**NOW).start()
-    query.awaitTermination()
+    speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, state, NOW, as_upsert)])
 
 
 def test_late_rows_are_dropped_by_the_current_watermark(spark):

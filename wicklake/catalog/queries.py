@@ -19,7 +19,6 @@ from wicklake.schemas import (
 from wicklake.session import configure, fresh_dir, staged
 from wicklake.sources import bronze as bronze_files, decode, export, tables
 from wicklake.streaming import sinks, speed_layer
-from wicklake.streaming.indicators import stream_indicators as indicators_of
 from wicklake.streaming.source import read_candle_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -522,7 +521,8 @@ def _landed(spark: SparkSession, rows: DataFrame) -> str:
 
 def _run(spark: SparkSession, folder: str, hot: str, checkpoints: str) -> None:
     speed_layer.drain(speed_layer.run_speed_layer(
-        spark, "text", {"path": folder}, hot, checkpoints, trigger=NOW))
+        spark, "text", {"path": folder}, hot, checkpoints, trigger=NOW,
+        state_partitions=spark.sparkContext.defaultParallelism))
 
 
 @query
@@ -531,11 +531,10 @@ def stream_raw_upsert(spark, sf):
     rows = inputs.candles(spark, sf)
     folder, hot, state = _landed(spark, rows), scratch.namespace(spark, "hot"), fresh_dir(spark, "state")
     tables.ensure_hot(spark, hot)
-    for _ in range(2):
+    for attempt in range(2):
         stream = read_candle_stream(spark, "text", {"path": folder})
-        speed_layer.drain([stream.writeStream.foreachBatch(sinks.raw_and_alerts(hot)).option(
-            "checkpointLocation", state).trigger(**NOW).start()])
-        if _ == 0:
+        speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, state, NOW)])
+        if attempt == 0:
             scratch.land_json(inputs.source(rows), folder)
     return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
 
@@ -546,15 +545,14 @@ def stream_pattern_alerts(spark, sf):
     folder, hot = _landed(spark, rows), scratch.namespace(spark, "hot")
     tables.ensure_hot(spark, hot)
     stream = read_candle_stream(spark, "text", {"path": folder})
-    speed_layer.drain([stream.writeStream.foreachBatch(sinks.raw_and_alerts(hot)).option(
-        "checkpointLocation", fresh_dir(spark, "state")).trigger(**NOW).start()])
+    speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)])
     return sinks.read_hot(spark, hot, "alert")
 
 
 def _run_indicators(spark: SparkSession, folder: str, hot: str, checkpoints: str) -> None:
-    stream = indicators_of(read_candle_stream(spark, "text", {"path": folder}))
-    speed_layer.drain([stream.writeStream.outputMode("append").foreachBatch(sinks.indicators(hot)).option(
-        "checkpointLocation", checkpoints).trigger(**NOW).start()])
+    stream = read_candle_stream(spark, "text", {"path": folder})
+    speed_layer.drain([speed_layer.start_indicators(
+        stream, hot, checkpoints, NOW, state_partitions=spark.sparkContext.defaultParallelism)])
 
 
 @query

@@ -61,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--format", default="kafka")
     stream.add_argument("--option", action="append", default=[], help="key=value, passed to the source")
     stream.add_argument("--start", default="earliest", choices=["earliest", "latest"])
+    stream.add_argument("--state-partitions", type=int, default=None)
     stream.add_argument("--once", action="store_true", help="process what is there and stop")
     stream.add_argument("--upsert", action="store_true", help="merge into the tables instead of appending")
 
@@ -91,7 +92,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.job == "stream":
         trigger = {"availableNow": True} if a.once else None
         speed_layer.drain(speed_layer.run_speed_layer(
-            spark, a.format, _pairs(a.option), a.hot, a.checkpoints, a.start, trigger, a.upsert))
+            spark, a.format, _pairs(a.option), a.hot, a.checkpoints, a.start, trigger, a.upsert,
+            a.state_partitions))
     elif a.job == "compact":
         sinks.compact(spark, a.hot, a.table, a.date)
     elif a.job == "export-csv":

@@ -6,106 +6,18 @@ and the candles the watermark has not passed yet.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wicklake.operators import indicators as batch
 from wicklake.schemas import STREAM_INDICATOR
+from wicklake.streaming import processor
 
-HISTORY = batch.MACD_HISTORY
-
-
-def _means(values: np.ndarray, length: int) -> np.ndarray:
-    """Mean of the last `length` values at every position, over the values that exist."""
-    padded = np.concatenate([np.full(length - 1, np.nan), values])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, length)
-    present = ~np.isnan(windows)
-    counts = present.sum(axis=1)
-    totals = np.where(present, windows, 0.0).sum(axis=1)
-    return np.divide(totals, counts, out=np.full(len(values), np.nan), where=counts > 0)
-
-
-def indicator_values(closes: np.ndarray) -> dict[str, np.ndarray]:
-    """All indicators for a run of closes, oldest first."""
-    diff = np.concatenate([[np.nan], np.diff(closes)])[: len(closes)]
-    gain = _means(np.where(diff > 0, diff, 0.0), batch.RSI_LENGTH)
-    loss = _means(np.where(diff < 0, -diff, 0.0), batch.RSI_LENGTH)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rsi = np.where(loss == 0, 100.0, 100.0 - 100.0 / (1.0 + gain / loss))
-    macd = _means(closes, batch.MACD_FAST) - _means(closes, batch.MACD_SLOW)
-    signal = _means(macd, batch.MACD_SIGNAL)
-    return {
-        "sma7": _means(closes, batch.SMA_SHORT), "sma25": _means(closes, batch.SMA_LONG), "rsi14": rsi,
-        "macd": macd, "macd_signal": signal, "macd_hist": macd - signal,
-    }
-
-
-def _event_ms(open_time: int) -> int:
-    return open_time // 1000 * 1000
-
-
-class IndicatorProcessor(StatefulProcessor):
-    """Waits until the watermark passes a candle, then emits candles in time order."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.past = handle.getValueState("past", "closes array<double>")
-        self.waiting = handle.getMapState("waiting", "open_time bigint", "close_price double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        earliest = None
-        for pdf in rows:
-            closes = pdf["close_price"].astype("float64")
-            for open_time, close in zip(pdf["open_time"].tolist(), closes.tolist()):
-                # Spark filters late rows by the previous batch's watermark, so look again.
-                if _event_ms(open_time) <= watermark:
-                    continue
-                self.waiting.updateValue((open_time,), (None if np.isnan(close) else close,))
-                earliest = open_time if earliest is None else min(earliest, open_time)
-        if earliest is not None:
-            self._wake_after(_event_ms(earliest))
-        return iter([])
-
-    def _wake_after(self, event_ms: int) -> None:
-        due = event_ms + 1
-        for timer in list(self.handle.listTimers()):
-            if timer <= due:
-                return
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(due)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        held = sorted((k[0], v[0]) for k, v in self.waiting.iterator())
-        ready = [item for item in held if _event_ms(item[0]) <= watermark]
-        for open_time, _ in ready:
-            self.waiting.removeKey((open_time,))
-        if len(held) > len(ready):
-            due = _event_ms(held[len(ready)][0]) + 1
-            if due not in list(self.handle.listTimers()):
-                self.handle.registerTimer(due)
-        if ready:
-            yield self._emit(key, ready)
-
-    def _emit(self, key, ready) -> pd.DataFrame:
-        past = list(self.past.get()[0]) if self.past.exists() else []
-        closes = np.array(past + [close for _, close in ready], dtype="float64")
-        values = indicator_values(closes)
-        n = len(ready)
-        kept = [None if np.isnan(c) else float(c) for c in closes[-HISTORY:]]
-        self.past.update((kept,))
-        out = pd.DataFrame({
-            "symbol": [key[0]] * n, "open_time": [t for t, _ in ready], "close_price": closes[-n:],
-            **{name: column[-n:] for name, column in values.items()}})
-        return out.astype(object).where(out.notna(), None) if out.isna().to_numpy().any() else out
+LENGTHS = processor.Lengths(
+    sma_short=batch.SMA_SHORT, sma_long=batch.SMA_LONG, rsi=batch.RSI_LENGTH, fast=batch.MACD_FAST,
+    slow=batch.MACD_SLOW, signal=batch.MACD_SIGNAL, history=batch.MACD_HISTORY)
 
-    def close(self) -> None:
-        pass
+cloudpickle.register_pickle_by_value(processor)
 
 
 def stream_indicators(stream: DataFrame) -> DataFrame:
@@ -115,5 +27,5 @@ def stream_indicators(stream: DataFrame) -> DataFrame:
     closed = stream.where(F.col("is_closed") == F.col("ts").isNotNull()).select(
         "symbol", "open_time", "close_price", "ts")
     return closed.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=IndicatorProcessor(), outputStructType=STREAM_INDICATOR.ddl,
+        statefulProcessor=processor.IndicatorProcessor(LENGTHS), outputStructType=STREAM_INDICATOR.ddl,
         outputMode="Append", timeMode="EventTime")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from wicklake.session import runtime_conf
 from wicklake.sources import tables
 from wicklake.streaming import sinks
 from wicklake.streaming.indicators import stream_indicators
@@ -14,9 +15,30 @@ from wicklake.streaming.source import read_candle_stream
 TRIGGER = "1 second"
 
 
+def start_raw_and_alerts(stream: DataFrame, hot: str, checkpoint: str, trigger: dict, as_upsert: bool = False) -> StreamingQuery:
+    return (
+        stream.writeStream.foreachBatch(sinks.raw_and_alerts(hot, as_upsert))
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def start_indicators(
+    stream: DataFrame, hot: str, checkpoint: str, trigger: dict, as_upsert: bool = False,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """`state_partitions` is how many tasks share the symbols. The first start of a query fixes it."""
+    spark = stream.sparkSession
+    tasks = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with runtime_conf(spark, "spark.sql.shuffle.partitions", str(tasks)):
+        return (
+            stream_indicators(stream).writeStream.outputMode("append")
+            .foreachBatch(sinks.indicators(hot, as_upsert))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def run_speed_layer(
     spark: SparkSession, fmt: str, options: dict[str, str], hot: str, checkpoints: str,
     start: str = "earliest", trigger: dict | None = None, as_upsert: bool = False,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the two stream queries.
 
@@ -25,14 +47,11 @@ def run_speed_layer(
     """
     trigger = trigger or {"processingTime": TRIGGER}
     tables.ensure_hot(spark, hot)
-    stateless = (
-        read_candle_stream(spark, fmt, options, start).writeStream
-        .foreachBatch(sinks.raw_and_alerts(hot, as_upsert))
-        .option("checkpointLocation", f"{checkpoints}/candles").trigger(**trigger).start())
-    stateful = (
-        stream_indicators(read_candle_stream(spark, fmt, options, start)).writeStream
-        .outputMode("append").foreachBatch(sinks.indicators(hot, as_upsert))
-        .option("checkpointLocation", f"{checkpoints}/indicators").trigger(**trigger).start())
+    stateless = start_raw_and_alerts(
+        read_candle_stream(spark, fmt, options, start), hot, f"{checkpoints}/candles", trigger, as_upsert)
+    stateful = start_indicators(
+        read_candle_stream(spark, fmt, options, start), hot, f"{checkpoints}/indicators", trigger, as_upsert,
+        state_partitions)
     return [stateless, stateful]
 
 
