@@ -61,13 +61,11 @@ def compare(spark, con, sf, name, fn, sql):
 
 
 def main(names):
-    import tempfile
     from __spark_entry__ import oracle_sql, queries
     from wicklake.session import spark_session
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = spark_session("compare", "local[8]", {
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wicklake-compare-")})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, all_queries, oracles = oracle_connection(sf), queries(), oracle_sql()
     bad = 0

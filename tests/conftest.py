@@ -17,7 +17,6 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "6g",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wicklake-test-"),
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wicklake-warehouse-"),
     })
     session.sparkContext.setLogLevel("ERROR")

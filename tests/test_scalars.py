@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from wicklake.functions import candle, text, time as tm
 from wicklake.operators import patterns, summary
 from wicklake.plans import star
+from wicklake.schemas import DIM_INTERVAL
 
 
 def one(spark, column):
@@ -27,6 +28,14 @@ def test_interval_seconds(spark):
         "x1m": None, None: None}
 
 
+def test_interval_dimension(spark):
+    rows = star.new_intervals(spark, DIM_INTERVAL.empty(spark), ["1m", "1M", "1h", "1m"])
+    assert {r.interval_code: (r.interval_id, r.interval_seconds) for r in rows.collect()} == {
+        "1M": (1, 2592000), "1h": (2, 3600), "1m": (3, 60)}
+    more = star.new_intervals(spark, rows, ["5m", "1h"])
+    assert [(r.interval_code, r.interval_id) for r in more.collect()] == [("5m", 4)]
+
+
 def test_symbol_list(spark):
     assert text.symbol_list(" btcusdt, ,ethusdt ") == ["BTCUSDT", "ETHUSDT"]
     assert one(spark, text.symbols_in(F.lit(" btcusdt, ,ethusdt "))) == ["BTCUSDT", "ETHUSDT"]

@@ -159,7 +159,7 @@ class Star:
 
     def __init__(self, spark: SparkSession, rows: DataFrame):
         self.spark, self.rows = spark, rows
-        self.interval = star.new_intervals(DIM_INTERVAL.empty(spark), star.interval_codes(spark, ["1h"]))
+        self.interval = star.new_intervals(spark, DIM_INTERVAL.empty(spark), ["1h"])
         self.source = star.new_sources(spark, DIM_DATA_SOURCE.empty(spark))
 
     @cached_property

@@ -91,7 +91,7 @@ def _add(spark: SparkSession, gold: str, name: str, rows: DataFrame) -> None:
 def ensure_static(spark: SparkSession, gold: str, intervals: list[str]) -> None:
     tables.ensure_gold(spark, gold)
     _add(spark, gold, "dim_interval", star.new_intervals(
-        _dim(spark, gold, "dim_interval"), star.interval_codes(spark, intervals)))
+        spark, _dim(spark, gold, "dim_interval"), intervals))
     _add(spark, gold, "dim_data_source", star.new_sources(spark, _dim(spark, gold, "dim_data_source")))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wicklake.functions import text, time as tm
 from wicklake.operators.clean import lookback
@@ -26,6 +26,7 @@ from wicklake.schemas import (
 BATCH_SOURCE = "batch_silver"
 HOT_SOURCE = "speed_hot"
 MARKET_TYPE = "spot"
+MONTH_DAYS = 30
 
 # Columns a hot refresh changes on a candle that is not final yet.
 HOT_KLINE_COLUMNS = [
@@ -55,6 +56,12 @@ def _numbered(rows: DataFrame, dim: DataFrame, id_column: str, key: str) -> Data
     return assign_ids(levelled, id_column, largest(dim, id_column), ["_start"], [key]).drop("_start")
 
 
+def _numbered_codes(rows: DataFrame, dim: DataFrame, id_column: str, key: str) -> DataFrame:
+    """The same for codes spelled out by the caller, which fit into one task by their nature."""
+    place = F.row_number().over(Window.orderBy(key)).cast("bigint")
+    return rows.withColumn(id_column, place + F.coalesce(largest(dim, id_column), F.lit(0)))
+
+
 def symbol_rows(names: DataFrame) -> DataFrame:
     symbol = F.col("symbol")
     return names.select("symbol").where(symbol.isNotNull()).distinct().select(
@@ -98,16 +105,16 @@ def new_dates(dim: DataFrame, dates: DataFrame, column: str = "date_id") -> Data
     return absent_rows(date_rows(dates, column), dim, DIM_DATE.key)
 
 
-def new_intervals(dim: DataFrame, codes: DataFrame) -> DataFrame:
-    """Rows for new interval codes; codes without a fixed length are rejected by the NOT NULL rule."""
-    rows = codes.select("interval_code").distinct().withColumn(
-        "interval_seconds", tm.interval_seconds(F.col("interval_code")))
+def new_intervals(spark: SparkSession, dim: DataFrame, codes: Sequence[str]) -> DataFrame:
+    """Rows for new interval codes. A calendar month has no fixed length and counts as 30 days here."""
+    code = F.col("interval_code")
+    days = F.when(code.endswith("M"), F.regexp_replace(code, "M$", "d"))
+    months = tm.interval_seconds(days) * MONTH_DAYS
+    named = spark.createDataFrame([(c,) for c in sorted(set(codes))], "interval_code string")
+    rows = named.withColumn(
+        "interval_seconds", F.coalesce(tm.interval_seconds(code), months))
     fresh = rows.join(dim.select("interval_code"), "interval_code", "left_anti")
-    return _numbered(fresh, dim, "interval_id", "interval_code").select(*DIM_INTERVAL.names)
-
-
-def interval_codes(spark: SparkSession, codes: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in codes], "interval_code string")
+    return _numbered_codes(fresh, dim, "interval_id", "interval_code").select(*DIM_INTERVAL.names)
 
 
 def new_sources(spark: SparkSession, dim: DataFrame) -> DataFrame:
@@ -115,7 +122,7 @@ def new_sources(spark: SparkSession, dim: DataFrame) -> DataFrame:
         [(BATCH_SOURCE, "Final history from the silver table"), (HOT_SOURCE, "Recent rows from the stream")],
         "source_code string, description string")
     fresh = rows.join(dim.select("source_code"), "source_code", "left_anti")
-    return _numbered(fresh, dim, "data_source_id", "source_code").select(*DIM_DATA_SOURCE.names)
+    return _numbered_codes(fresh, dim, "data_source_id", "source_code").select(*DIM_DATA_SOURCE.names)
 
 
 def new_patterns(dim: DataFrame, alerts: DataFrame) -> DataFrame:
