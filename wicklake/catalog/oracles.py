@@ -297,10 +297,11 @@ SELECT strftime(d, '%Y-%m-%d') AS date_id, CAST(year(d) AS INTEGER) AS year, CAS
        CAST(isodow(d) AS INTEGER) AS day_of_week, isodow(d) IN (6, 7) AS is_weekend
 FROM (SELECT CAST(trade_date AS DATE) AS d FROM candles UNION SELECT CAST(o_orderdate AS DATE) FROM orders)"""
 
-ORACLES["dim_static"] = CANDLES + """
-SELECT DISTINCT 'interval' AS dim, CAST(1 AS BIGINT) AS id, "interval" AS code, CAST(3600 AS BIGINT) AS seconds
-FROM candles
-UNION ALL SELECT 'source', 1, 'batch_silver', 0 UNION ALL SELECT 'source', 2, 'speed_hot', 0"""
+ORACLES["dim_static"] = CANDLES + "," + PAIR + """
+SELECT 'interval' AS dim, CAST(1 AS BIGINT) AS id, "interval" AS code, CAST(3600 AS BIGINT) AS seconds,
+       CAST(count(*) AS BIGINT) AS row_count FROM candles GROUP BY "interval"
+UNION ALL SELECT 'source', 1, 'batch_silver', 0, count(*) FROM tgt
+UNION ALL SELECT 'source', 2, 'speed_hot', 0, count(*) FROM src"""
 
 ORACLES["dim_insert_absent"] = PATTERNS + """
 SELECT DISTINCT 'date' AS dim, trade_date AS code FROM candles

@@ -364,18 +364,19 @@ def dim_date(spark, sf):
 
 @query
 def dim_static(spark, sf):
+    """Intervals and data sources with the number of candles that refer to them. A second insert adds nothing."""
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
-    codes = dims.interval.select(
+    sources = dims.source.unionByName(star.new_sources(spark, dims.source))
+    facts = inputs.batch_facts(rows, dims).unionByName(inputs.hot_facts(rows, dims))
+    per_interval = rows.groupBy(F.col("interval").alias("interval_code")).agg(F.count(F.lit(1)).alias("row_count"))
+    per_source = facts.groupBy("data_source_id").agg(F.count(F.lit(1)).alias("row_count"))
+    return dims.interval.join(per_interval, "interval_code").select(
         F.lit("interval").alias("dim"), F.col("interval_id").alias("id"), F.col("interval_code").alias("code"),
-        F.col("interval_seconds").cast("bigint").alias("seconds"))
-    sources = dims.source.select(
+        F.col("interval_seconds").cast("bigint").alias("seconds"), "row_count",
+    ).unionByName(sources.join(per_source, "data_source_id").select(
         F.lit("source").alias("dim"), F.col("data_source_id").alias("id"), F.col("source_code").alias("code"),
-        F.lit(0).cast("bigint").alias("seconds"))
-    again = star.new_sources(spark, dims.source).select(
-        F.lit("source").alias("dim"), F.col("data_source_id").alias("id"), F.col("source_code").alias("code"),
-        F.lit(0).cast("bigint").alias("seconds"))
-    return codes.unionByName(sources).unionByName(again)
+        F.lit(0).cast("bigint").alias("seconds"), "row_count"))
 
 
 @query

@@ -13,7 +13,7 @@ from wicklake.operators import clean, summary
 from wicklake.operators.checks import duplicate_keys, missing_references, not_null_counts, require_empty
 from wicklake.plans import star
 from wicklake.schemas import (
-    FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, SILVER,
+    FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, HOT, SILVER,
 )
 from wicklake.session import staged
 from wicklake.sources import tables
@@ -149,11 +149,14 @@ def refresh_hot(
     tables.upsert(
         facts, FACT_INDICATOR, f"{gold}.fact_technical_indicator", update=star.INDICATOR_UPDATE_COLUMNS)
 
-    # Symbols and pattern types come from all alerts, dates and facts from the recent ones.
-    alerts = read_hot(spark, hot, "alert")
+    # Symbols and pattern types come from all alerts, dates and facts from the recent ones. Only a type
+    # that is new somewhere in the log makes it worth finding the current alerts of the whole history.
+    log = tables.read_table(spark, HOT["alert"], f"{hot}.alert")
+    patterns = _dim(spark, gold, "dim_pattern_type")
+    if not star.new_patterns(patterns, log).isEmpty():
+        _add(spark, gold, "dim_pattern_type", star.new_patterns(patterns, read_hot(spark, hot, "alert")))
     recent = clean.lookback(read_hot(spark, hot, "alert", as_of, hours), as_of, hours, "close_time")
-    _add(spark, gold, "dim_pattern_type", star.new_patterns(_dim(spark, gold, "dim_pattern_type"), alerts))
-    _add_keys(spark, gold, alerts, recent, "close_time", as_of, exchange)
+    _add_keys(spark, gold, log, recent, "close_time", as_of, exchange)
     rows = staged(star.alert_rows(
         recent, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_pattern_type"), as_of, hours))
     fact = _dim(spark, gold, "fact_pattern_alert")
