@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, oracle_connection
+from wicklake.catalog.oracles import ORACLES
+from wicklake.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +14,13 @@ def oracle(small):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, oracle, small, name):
-    problem, rows, _ = compare(spark, oracle, small, name, queries()[name], oracle_sql()[name])
+    problem, rows, _ = compare(spark, oracle, small, name, QUERIES[name], ORACLES[name])
     assert problem is None
     assert rows > 0
 
