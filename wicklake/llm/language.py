@@ -172,3 +172,18 @@ def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
             .mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, coverage double"))
+
+
+def known(docs: DataFrame, model: LanguageFilter, least_coverage: float) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text is in a language of the model: it has a letter, and the likeliest
+    language has at least `least_coverage` of its n-grams. Without any learned language, a letter is enough."""
+    text_batches(docs.sparkSession)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch["text"].to_pylist()
+            langs, _, cover = model.decide(texts)
+            fits = [lang != UNDETERMINED and c >= least_coverage if model.langs else has_letter(t) for lang, c, t in zip(langs, cover, texts)]
+            yield batch.filter(pa.array(fits, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
