@@ -3,10 +3,11 @@ from pyspark.sql import functions as F
 
 from wicklake.catalog import inputs, tables as scratch
 from wicklake.operators.indicators import closed_candles, technical_indicators
+from wicklake.operators import summary
 from wicklake.operators.checks import duplicate_keys
 from wicklake.plans import jobs, views
-from wicklake.schemas import BRONZE, SILVER
-from wicklake.session import fresh_dir
+from wicklake.schemas import BRONZE, GOLD, SILVER
+from wicklake.session import fresh_dir, staged
 from wicklake.sources import bronze, export, tables
 from wicklake.streaming import sinks
 
@@ -57,10 +58,28 @@ def test_unknown_mode_and_empty_day(spark, root):
     table = silver_table(spark)
     with pytest.raises(ValueError):
         jobs.bronze_to_silver(spark, root, table, DAY, "1h", "replace")
-    for mode in jobs.MODES:
+    for mode in ("bootstrap", "merge"):
         assert jobs.bronze_to_silver(spark, root, table, "2020-01-01", "1h", mode).count() == 0
 
 
+def test_overwrite_day_refuses_a_day_without_files(spark, root, candles):
+    table = silver_table(spark)
+    tables.ensure_silver(spark, table)
+    tables.append(candles.withColumn("trade_date", F.lit("2020-01-01").cast("date")).limit(34), SILVER, table)
+    before = silver_rows(spark, table)
+    with pytest.raises(FileNotFoundError):
+        jobs.bronze_to_silver(spark, root, table, "2020-01-01", "1h", "overwrite-day")
+    assert silver_rows(spark, table) == before != []
+    jobs.bronze_to_silver(spark, root, table, "2020-01-01", "1h", "overwrite-day", allow_empty=True)
+    assert silver_rows(spark, table) == []
+
+
+def test_report_has_every_symbol(spark, candles):
+    many = candles.where(f"trade_date = '{DAY}'").limit(1).select(
+        *[c for c in candles.columns if c != "symbol"], F.explode(F.transform(F.sequence(F.lit(1), F.lit(150)), lambda n: n.cast("string"))).alias("symbol"))
+    assert summary.day_row_counts(many, DAY).count() == 150
+
+
 def test_backfill_equals_day_loop(spark, root):
     whole, loop = silver_table(spark), silver_table(spark)
     jobs.backfill(spark, root, whole, "2024-01-10", "2024-01-13", "1h")
@@ -126,6 +145,35 @@ def test_gold_is_stable_when_run_again(spark, loaded):
         assert sorted(map(tuple, spark.table(f"{gold}.{name}").collect()), key=repr) == before[name], name
 
 
+def test_dimensions_survive_an_interrupted_load(spark, loaded, monkeypatch):
+    silver, gold, _ = loaded
+    view = lambda: sorted(map(tuple, views.kline_unified(*[tables.read_table(spark, GOLD[t], f"{gold}.{t}") for t in (
+        "fact_kline", "dim_symbol", "dim_interval", "dim_data_source")]).collect()), key=repr)
+    before = view()
+    stale = tables.read_table(spark, GOLD["dim_symbol"], f"{gold}.dim_symbol").withColumn("base_asset", F.lit("?"))
+    tables.swap(stale, GOLD["dim_symbol"], f"{gold}.dim_symbol")
+
+    def broken(*_):
+        raise RuntimeError("interrupted")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(jobs.tables, "swap", broken)
+        jobs.load_batch(spark, silver, gold, "2024-01-16", "1h", "2024-01-17T12:00:00")
+    assert view() == before
+    jobs.load_batch(spark, silver, gold, "2024-01-16", "1h", "2024-01-17T12:00:00")
+    assert [r[:-1] for r in view()] == [r[:-1] for r in before]
+    assert tables.read_table(spark, GOLD["dim_symbol"], f"{gold}.dim_symbol").where("base_asset = '?'").count() == 0
+
+
+def test_lost_dimension_is_not_numbered_anew(spark, loaded):
+    silver, gold, _ = loaded
+    held = staged(tables.read_table(spark, GOLD["dim_symbol"], f"{gold}.dim_symbol"))
+    tables.swap(held.limit(0), GOLD["dim_symbol"], f"{gold}.dim_symbol")
+    with pytest.raises(ValueError, match="dim_symbol is empty"):
+        jobs.load_batch(spark, silver, gold, "2024-01-16", "1h", "2024-01-17T12:00:00")
+    tables.swap(held, GOLD["dim_symbol"], f"{gold}.dim_symbol")
+
+
 def test_hot_refresh_without_a_batch_day(spark, loaded):
     _, _, hot = loaded
     gold, silver = scratch.namespace(spark, "gold"), silver_table(spark)
@@ -147,23 +195,22 @@ def test_registered_views(spark, loaded, candles):
     assert spark.sql("select * from vw_pattern_alerts_recent").count() == 7
 
 
-def test_latest_snapshot_reads_few_dates_and_needs_no_bound(spark, loaded):
+def test_latest_snapshot_joins_by_series_and_time(spark, loaded):
+    """Also an indicator whose date is not the day of its open time."""
     _, gold, _ = loaded
-    t = {n: spark.table(f"{gold}.{n}") for n in (
-        "fact_kline", "dim_symbol", "dim_interval", "dim_data_source", "fact_technical_indicator")}
-
-    def snapshot(series):
-        return views.latest_snapshot(*[t[n] for n in (
-            "fact_kline", "dim_symbol", "dim_interval", "dim_data_source", "fact_technical_indicator")], series)
-    bounded, free = snapshot(5), snapshot(None)
-    assert sorted(map(tuple, bounded.collect()), key=repr) == sorted(map(tuple, free.collect()), key=repr)
-    text = bounded._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in text.lower()
+    t = [spark.table(f"{gold}.{n}") for n in (
+        "fact_kline", "dim_symbol", "dim_interval", "dim_data_source", "fact_technical_indicator")]
+    odd = t[4].withColumn("date_id", F.date_add("date_id", 3))
+    plain, moved = (sorted(map(tuple, views.latest_snapshot(*t[:4], x).collect()), key=repr) for x in (t[4], odd))
+    assert plain == moved
 
 
 def test_export_csv(spark, candles):
     path = fresh_dir(spark, "csv")
-    export.export_csv(candles.where(f"trade_date = '{DAY}' and symbol = 'CLICKUSDT'"), path)
+    day = candles.where(f"trade_date = '{DAY}' and symbol in ('CLICKUSDT', 'VIEWUSDT')")
+    export.export_csv(day, path)
     back = spark.read.option("header", True).csv(path)
-    assert back.columns == ["open_time", "open", "high", "low", "close", "volume"]
-    assert back.first().open_time.startswith(DAY)
+    assert back.columns == ["open_time", "open", "high", "low", "close", "volume", "symbol", "interval"]
+    assert {r.open_time[:10] for r in back.collect()} == {DAY}
+    counts = {r.symbol: r["count"] for r in back.groupBy("symbol").count().collect()}
+    assert counts == {r.symbol: r["count"] for r in day.groupBy("symbol").count().collect()}

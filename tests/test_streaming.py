@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wicklake.catalog import inputs, tables as scratch
 from wicklake.operators.indicators import technical_indicators
+from wicklake.schemas import HOT
 from wicklake.session import fresh_dir
 from wicklake.sources import tables
 from wicklake.streaming import sinks, speed_layer
@@ -122,6 +123,26 @@ def test_replay_and_compaction_change_nothing(spark, small):
     assert {n: state(n) for n in first} == first
 
 
+def test_compaction_keeps_what_arrives_meanwhile(spark, small, monkeypatch):
+    rows = inputs.stream_rows(inputs.candles(spark, small))
+    hot = hot_namespace(spark)
+    sinks.write_batch(rows, 0, "candle", hot)
+    sinks.write_batch(rows, 1, "candle", hot)
+    late = rows.where("open_time >= 1705276800000 and open_time < 1705363200000").withColumn("close_price", F.lit(-7.0))
+    real = sinks.staged
+
+    def meanwhile(df):
+        out = real(df)
+        sinks.write_batch(late, 2, "candle", hot)
+        return out
+
+    monkeypatch.setattr(sinks, "staged", meanwhile)
+    sinks.compact(spark, hot, "candle", "2024-01-15")
+    day = sinks.read_hot(spark, hot, "candle").where("open_time >= 1705276800000 and open_time < 1705363200000")
+    assert {r.close_price for r in day.collect()} == {-7.0} and day.count() == late.count()
+    assert tables.read_table(spark, HOT["candle"], f"{hot}.candle").where("trade_date = date'2024-01-15'").count() == 2 * late.count()
+
+
 def test_statement_set_fills_three_tables(spark):
     folder, hot, state = fresh_dir(spark, "in"), scratch.namespace(spark, "hot"), fresh_dir(spark, "state")
     land(folder, 0, [candle("A", 1_000_000 + i * 60_000, 100.5 if i % 2 else 109.0) for i in range(40)])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wicklake.catalog import inputs, tables as scratch
 from wicklake.schemas import BRONZE, DIM_DATA_SOURCE, GOLD, SILVER, Layout
-from wicklake.session import fresh_dir
+from wicklake.session import fresh_dir, staged
 from wicklake.sources import bronze, tables
 
 A, B, C = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
@@ -81,6 +81,27 @@ def test_upsert_reads_only_the_touched_range(spark, target):
     assert "PartitionFilters: [isnotnull(d" in text and "dynamicpruning" in text
 
 
+def test_upsert_reads_its_staged_copy_by_column_and_writes_rebalanced(spark, target):
+    copy = staged(rows(spark, (A, "A", 9, 9), (C, "Q", 1, 1)))
+    scan = copy.select("d")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet [d" in scan and "ExistingRDD" not in scan
+    written = tables.gathered(copy, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in written and "REPARTITION_BY_NUM" not in written
+
+
+def test_swap_leaves_the_old_folder(spark):
+    def dim(*items):
+        return spark.createDataFrame(items, DIM_DATA_SOURCE.ddl)
+    table = scratch.filled(spark, DIM_DATA_SOURCE, dim((1, "a", "x")), "dim")
+    old = spark.table(table)
+    for label in ("y", "z"):
+        tables.swap(spark.table(table).withColumn("description", F.lit(label)), DIM_DATA_SOURCE, table)
+        assert [tuple(r) for r in spark.table(table).collect()] == [(1, "a", label)]
+    assert old.inputFiles() != spark.table(table).inputFiles()
+    tables.append(dim((2, "b", "w")), DIM_DATA_SOURCE, table)
+    assert spark.table(table).count() == 2
+
+
 def test_ensure_is_repeatable(spark):
     gold = scratch.namespace(spark, "gold")
     tables.ensure_gold(spark, gold)

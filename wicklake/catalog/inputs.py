@@ -187,7 +187,7 @@ def hot_facts(rows: DataFrame, dims: Star) -> DataFrame:
         stream_rows(source(rows)), dims.symbol, dims.interval, dims.source, AS_OF, hours, "1h")
 
 
-def indicator_facts(rows: DataFrame, dims: Star, hours: int = 48) -> DataFrame:
+def indicator_facts(rows: DataFrame, dims: Star, hours: int | None = 48) -> DataFrame:
     values = technical_indicators(closed_candles(rows)).drop("interval")
     return star.indicator_facts(values, dims.symbol, dims.interval, AS_OF, hours, "1h")
 

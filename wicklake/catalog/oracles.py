@@ -94,11 +94,14 @@ PAIR = f"""
 tgt AS (SELECT * FROM candles WHERE open_time < {TARGET_END}),
 src AS (SELECT * REPLACE (close_price + 1 AS close_price) FROM candles WHERE open_time >= {SOURCE_START})"""
 
-SILVER_OUT = 'symbol, "interval", open_time, trade_date, close_price, volume, number_of_trades'
+SILVER_OUT = """symbol, "interval", open_time, close_time, open_time // 1000 * 1000 AS open_ts,
+       close_time // 1000 * 1000 AS close_ts, open_price, high_price, low_price, close_price, volume, quote_asset_volume,
+       number_of_trades, taker_buy_base_volume, taker_buy_quote_volume, is_closed, trade_date, ingest_us, source"""
 
 FACT_OUT = f"""
 SELECT s.symbol_id, CAST(1 AS BIGINT) AS interval_id, u.trade_date AS date_id, u.open_time, u.open_ms AS open_ts,
-       u.close_time, u.close_ms AS close_ts, u.close_price, u.volume, u.number_of_trades,
+       u.close_time, u.close_ms AS close_ts, u.open_price, u.high_price, u.low_price, u.close_price, u.volume,
+       u.quote_asset_volume, u.number_of_trades, u.taker_buy_base_volume, u.taker_buy_quote_volume,
        CAST(u.data_source_id AS BIGINT) AS data_source_id, u.is_final, CAST({AS_OF} AS BIGINT) AS updated_at
 FROM u JOIN sym s USING (symbol)"""
 
@@ -108,13 +111,17 @@ def _unified(final: str) -> str:
     return f"""
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY symbol, open_time ORDER BY prio) AS rn,
-         max(CASE WHEN origin = 'b' THEN number_of_trades END) OVER (PARTITION BY symbol, open_time) AS trades
+         max(CASE WHEN origin = 'b' THEN number_of_trades END) OVER (PARTITION BY symbol, open_time) AS trades,
+         max(CASE WHEN origin = 'b' THEN quote_asset_volume END) OVER (PARTITION BY symbol, open_time) AS quote,
+         max(CASE WHEN origin = 'b' THEN taker_buy_base_volume END) OVER (PARTITION BY symbol, open_time) AS taker_base,
+         max(CASE WHEN origin = 'b' THEN taker_buy_quote_volume END) OVER (PARTITION BY symbol, open_time) AS taker_quote
   FROM (
     SELECT *, 'b' AS origin, {final} AS is_final, CASE WHEN {final} THEN 0 ELSE 2 END AS prio FROM tgt
     UNION ALL SELECT *, 'h' AS origin, FALSE AS is_final, 1 AS prio FROM src)),
 u AS (
   SELECT symbol, "interval", trade_date, open_time, close_time, open_price, high_price, low_price, close_price, volume,
-         coalesce(trades, -1) AS number_of_trades, is_final,
+         quote AS quote_asset_volume, trades AS number_of_trades, taker_base AS taker_buy_base_volume,
+         taker_quote AS taker_buy_quote_volume, is_final,
          CASE WHEN origin = 'b' THEN 1 ELSE 2 END AS data_source_id,
          CASE WHEN origin = 'b' THEN open_time // 1000 * 1000 ELSE open_time END AS open_ms,
          CASE WHEN origin = 'b' THEN close_time // 1000 * 1000 ELSE close_time END AS close_ms
@@ -200,7 +207,7 @@ SELECT symbol, open_time, CASE WHEN {_KIND} = 'bad' THEN NULL ELSE close_price E
 FROM candles WHERE {_KIND} IN ('kline', 'bad')"""
 
 ORACLES["csv_export"] = CANDLES + """
-SELECT strftime(make_timestamp(open_time * 1000), '%Y-%m-%d %H:%M:%S') AS open_time, open_price AS open,
+SELECT symbol, "interval", strftime(make_timestamp(open_time * 1000), '%Y-%m-%d %H:%M:%S') AS open_time, open_price AS open,
        high_price AS high, low_price AS low, close_price AS close, volume FROM candles"""
 
 # --- aggregates ----------------------------------------------------------------------------------
@@ -209,7 +216,7 @@ ORACLES["daily_summary"] = CANDLES + "," + DAILY + " SELECT * FROM days"
 
 ORACLES["day_row_counts"] = CANDLES + """
 SELECT symbol, CAST(count(*) AS BIGINT) AS row_count FROM candles WHERE trade_date = '2024-01-15'
-GROUP BY symbol ORDER BY symbol LIMIT 100"""
+GROUP BY symbol"""
 
 ORACLES["day_total"] = CANDLES + """
 SELECT CAST(count(*) AS BIGINT) AS row_count FROM candles WHERE trade_date = '2024-01-15'"""
@@ -270,7 +277,7 @@ SELECT s.symbol_id, CAST(1 AS BIGINT) AS interval_id, trade_date AS date_id, ope
        close_price, {', '.join(
            f"CASE WHEN open_time >= {AS_OF} - 48 * {HOUR} THEN round({c}, 6) ELSE 0.0 END AS {c}"
            for c in ("sma7", "sma25", "rsi14", "macd", "macd_signal", "macd_hist"))}
-FROM ind JOIN sym s USING (symbol) WHERE open_time >= {AS_OF} - 240 * {HOUR}"""
+FROM ind JOIN sym s USING (symbol)"""
 
 ORACLES["alert_insert_absent"] = PATTERNS + "," + IDS + f""",
 pt AS (SELECT pattern_type, row_number() OVER (ORDER BY pattern_type) AS pattern_type_id
@@ -299,9 +306,9 @@ FROM (SELECT CAST(trade_date AS DATE) AS d FROM candles UNION SELECT CAST(o_orde
 
 ORACLES["dim_static"] = CANDLES + "," + PAIR + """
 SELECT 'interval' AS dim, CAST(1 AS BIGINT) AS id, "interval" AS code, CAST(3600 AS BIGINT) AS seconds,
-       CAST(count(*) AS BIGINT) AS row_count FROM candles GROUP BY "interval"
-UNION ALL SELECT 'source', 1, 'batch_silver', 0, count(*) FROM tgt
-UNION ALL SELECT 'source', 2, 'speed_hot', 0, count(*) FROM src"""
+       CAST(NULL AS VARCHAR) AS description, CAST(count(*) AS BIGINT) AS row_count FROM candles GROUP BY "interval"
+UNION ALL SELECT 'source', 1, 'batch_silver', 0, 'Final history from the silver table', count(*) FROM tgt
+UNION ALL SELECT 'source', 2, 'speed_hot', 0, 'Recent rows from the stream', count(*) FROM src"""
 
 ORACLES["dim_insert_absent"] = PATTERNS + """
 SELECT DISTINCT 'date' AS dim, trade_date AS code FROM candles
@@ -320,19 +327,21 @@ FROM days JOIN sym s USING (symbol)"""
 
 # --- serving -------------------------------------------------------------------------------------
 
-ORACLES["vw_kline_unified"] = CANDLES + "," + PAIR + "," + _unified("TRUE") + """
+ORACLES["vw_kline_unified"] = CANDLES + "," + PAIR + "," + _unified("TRUE") + f"""
 SELECT symbol, "interval" AS interval_code, trade_date, open_time, open_ms AS open_ts, close_time, close_ms AS close_ts,
-       open_price, high_price, low_price, close_price, volume, number_of_trades,
-       CASE data_source_id WHEN 1 THEN 'batch_silver' ELSE 'speed_hot' END AS data_source, is_final FROM u"""
+       open_price, high_price, low_price, close_price, volume, quote_asset_volume, number_of_trades,
+       CASE data_source_id WHEN 1 THEN 'batch_silver' ELSE 'speed_hot' END AS data_source, is_final,
+       CAST({AS_OF} AS BIGINT) AS updated_at FROM u"""
 
-ORACLES["vw_daily_market_summary"] = CANDLES + "," + DAILY + """
+ORACLES["vw_daily_market_summary"] = CANDLES + "," + DAILY + f"""
 SELECT trade_date, symbol, "interval" AS interval_code, open_price, high_price, low_price, close_price, total_volume,
-       price_change, price_change_pct, daily_range, number_of_candles FROM days"""
+       price_change, price_change_pct, daily_range, number_of_candles, CAST({AS_OF} AS BIGINT) AS updated_at FROM days"""
 
 ORACLES["vw_latest_snapshot"] = INDICATORS + "," + PAIR + "," + _unified("TRUE") + f""",
 last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) AS n FROM u) WHERE n = 1)
 SELECT l.symbol, l."interval" AS interval_code, l.open_time, l.open_ms AS open_ts, l.close_price, l.volume,
-       CASE l.data_source_id WHEN 1 THEN 'batch_silver' ELSE 'speed_hot' END AS data_source, l.is_final, {SIX}
+       CASE l.data_source_id WHEN 1 THEN 'batch_silver' ELSE 'speed_hot' END AS data_source, l.is_final, {SIX},
+       CAST({AS_OF} AS BIGINT) AS updated_at
 FROM last l LEFT JOIN ind i ON i.symbol = l.symbol AND i.open_time = l.open_time"""
 
 ORACLES["vw_pattern_alerts_recent"] = PATTERNS + f"""
@@ -357,13 +366,17 @@ WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id"""
 # --- jobs ----------------------------------------------------------------------------------------
 
 ORACLES["backfill_equals_loop"] = CANDLES + f"""
-SELECT {SILVER_OUT} FROM candles WHERE trade_date >= '2024-01-10' AND trade_date < '2024-01-15'"""
+SELECT {SILVER_OUT}, CAST(2 AS BIGINT) AS tables FROM candles WHERE trade_date >= '2024-01-10' AND trade_date < '2024-01-15'"""
+
+ORACLES["overwrite_day_guard"] = CANDLES + "," + PAIR + f"""
+SELECT {SILVER_OUT} FROM tgt WHERE trade_date <> '2024-01-15'
+UNION ALL SELECT {SILVER_OUT} FROM src WHERE trade_date = '2024-01-15'"""
 
 ORACLES["daily_chain"] = CANDLES + "," + PAIR + """
 SELECT symbol, '1h' AS interval_code, trade_date, open_time, close_price, number_of_trades,
        'batch_silver' AS data_source, TRUE AS is_final FROM candles WHERE trade_date = '2024-01-15'
 UNION ALL
-SELECT symbol, '1h', trade_date, open_time, close_price, -1, 'speed_hot', FALSE
+SELECT symbol, '1h', trade_date, open_time, close_price, NULL, 'speed_hot', FALSE
 FROM src WHERE open_time >= epoch_ms(TIMESTAMP '2024-01-16')"""
 
 # --- streaming -----------------------------------------------------------------------------------
@@ -373,6 +386,7 @@ SELECT symbol, open_time, close_time, open_price, high_price, low_price,
        CASE WHEN open_time >= {SOURCE_START} THEN close_price + 1 ELSE close_price END AS close_price, volume, is_closed
 FROM candles"""
 
+ORACLES["stream_restart_newest"] = ORACLES["stream_raw_upsert"]
 ORACLES["stream_pattern_alerts"] = ORACLES["pattern_alerts"]
 ORACLES["stream_indicators"] = ORACLES["technical_indicators"]
 ORACLES["stream_late_drop"] = ORACLES["technical_indicators"]

@@ -168,7 +168,7 @@ def csv_export(spark, sf):
     path = fresh_dir(spark, "csv")
     export.export_csv(inputs.candles(spark, sf), path)
     return spark.read.schema(
-        "open_time string, open double, high double, low double, close double, volume double",
+        "symbol string, interval string, open_time string, open double, high double, low double, close double, volume double",
     ).option("header", True).csv(path)
 
 
@@ -257,7 +257,10 @@ def pattern_alerts(spark, sf):
 # --- table writers -------------------------------------------------------------------------------
 
 def _silver_output(df: DataFrame) -> DataFrame:
-    return df.select("symbol", "interval", "open_time", _day("trade_date"), "close_price", "volume", "number_of_trades")
+    """All columns of a silver table."""
+    kinds = {"trade_date": _day("trade_date"), "open_ts": _ms("open_ts"), "close_ts": _ms("close_ts"),
+             "ingest_ts": F.unix_micros("ingest_ts").alias("ingest_us")}
+    return df.select(*[kinds.get(c, F.col(c)) for c in SILVER.names])
 
 
 @query
@@ -279,10 +282,9 @@ def replace_day(spark, sf):
 
 
 def _fact_output(df: DataFrame) -> DataFrame:
-    return df.select(
-        "symbol_id", "interval_id", _day("date_id"), "open_time", _ms("open_ts"), "close_time", _ms("close_ts"),
-        "close_price", "volume", F.coalesce("number_of_trades", F.lit(-1)).cast("bigint").alias("number_of_trades"),
-        "data_source_id", "is_final", _ms("updated_at"))
+    """All columns of a candle fact."""
+    kinds = {"date_id": _day("date_id"), **{c: _ms(c) for c in ("open_ts", "close_ts", "updated_at")}}
+    return df.select(*[kinds.get(c, F.col(c)) for c in FACT_KLINE.names])
 
 
 @query
@@ -311,7 +313,7 @@ def fact_indicator_upsert(spark, sf):
     """Older values of the last 48 hours are there first and then all of them are refreshed."""
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
-    fresh = inputs.indicator_facts(rows, dims, 240)
+    fresh = inputs.indicator_facts(rows, dims, None)
     stale = fresh.withColumns({c: F.lit(0.0) for c in indicators.INDICATOR_COLUMNS}) \
         .where(F.col("open_time") < tm.as_of_ms(AS_OF) - 48 * tm.HOUR_MS)
     table = scratch.filled(spark, FACT_INDICATOR, stale, "fact_indicator")
@@ -328,7 +330,7 @@ def alert_insert_absent(spark, sf):
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
     found = inputs.alerts(rows)
-    every = star.alert_rows(found.unionByName(found), dims.symbol, dims.pattern, AS_OF, 24 * 60)
+    every = star.alert_rows(found.unionByName(found), dims.symbol, dims.pattern, AS_OF, None)
     old = every.where(F.col("close_time") < inputs.TARGET_END_MS)
     known = star.new_alerts(old, FACT_ALERT.empty(spark))
     table = scratch.filled(spark, FACT_ALERT, known, "fact_alert")
@@ -373,10 +375,10 @@ def dim_static(spark, sf):
     per_source = facts.groupBy("data_source_id").agg(F.count(F.lit(1)).alias("row_count"))
     return dims.interval.join(per_interval, "interval_code").select(
         F.lit("interval").alias("dim"), F.col("interval_id").alias("id"), F.col("interval_code").alias("code"),
-        F.col("interval_seconds").cast("bigint").alias("seconds"), "row_count",
+        F.col("interval_seconds").cast("bigint").alias("seconds"), F.lit(None).cast("string").alias("description"), "row_count",
     ).unionByName(sources.join(per_source, "data_source_id").select(
         F.lit("source").alias("dim"), F.col("data_source_id").alias("id"), F.col("source_code").alias("code"),
-        F.lit(0).cast("bigint").alias("seconds"), "row_count"))
+        F.lit(0).cast("bigint").alias("seconds"), "description", "row_count"))
 
 
 @query
@@ -423,8 +425,8 @@ def vw_kline_unified(spark, sf):
     view = views.kline_unified(_unified(rows, dims), dims.symbol, dims.interval, dims.source)
     return view.select(
         "symbol", "interval_code", _day("trade_date"), "open_time", _ms("open_ts"), "close_time", _ms("close_ts"),
-        "open_price", "high_price", "low_price", "close_price", "volume",
-        F.coalesce("number_of_trades", F.lit(-1)).cast("bigint").alias("number_of_trades"), "data_source", "is_final")
+        "open_price", "high_price", "low_price", "close_price", "volume", "quote_asset_volume", "number_of_trades",
+        "data_source", "is_final", _ms("updated_at"))
 
 
 @query
@@ -435,26 +437,26 @@ def vw_daily_market_summary(spark, sf):
         star.daily_facts(rows, dims.symbol, dims.interval, AS_OF), dims.symbol, dims.interval)
     return view.select(
         _day("trade_date"), "symbol", "interval_code", "open_price", "high_price", "low_price", "close_price",
-        _r("total_volume", 4), _r("price_change", 4), _r("price_change_pct", 4), _r("daily_range", 4), "number_of_candles")
+        _r("total_volume", 4), _r("price_change", 4), _r("price_change_pct", 4), _r("daily_range", 4), "number_of_candles",
+        _ms("updated_at"))
 
 
 @query
 def vw_latest_snapshot(spark, sf):
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
-    facts, values = staged(_unified(rows, dims)), staged(inputs.indicator_facts(rows, dims, 24 * 60))
-    view = views.latest_snapshot(
-        facts, dims.symbol, dims.interval, dims.source, values, dims.symbol.count() * dims.interval.count())
+    values = inputs.indicator_facts(rows, dims, None)
+    view = views.latest_snapshot(_unified(rows, dims), dims.symbol, dims.interval, dims.source, values)
     return view.select(
         "symbol", "interval_code", "open_time", _ms("open_ts"), "close_price", "volume", "data_source", "is_final",
-        *[_r(c) for c in indicators.INDICATOR_COLUMNS])
+        *[_r(c) for c in indicators.INDICATOR_COLUMNS], _ms("updated_at"))
 
 
 @query
 def vw_pattern_alerts_recent(spark, sf):
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
-    fact = star.alert_rows(inputs.alerts(rows), dims.symbol, dims.pattern, AS_OF, 24 * 60)
+    fact = star.alert_rows(inputs.alerts(rows), dims.symbol, dims.pattern, AS_OF, None)
     view = views.recent_alerts(fact, dims.symbol, dims.date, dims.pattern, AS_OF)
     return view.select("symbol", _day("trade_date"), "pattern_type", "close_time", _ms("close_ts"), "close_price")
 
@@ -484,13 +486,34 @@ def check_foreign_key(spark, sf):
 
 @query
 def backfill_equals_loop(spark, sf):
-    """One backfill job over five days: rows per symbol and day in silver."""
+    """Two overlapping backfill jobs and a loop of daily merges over bronze that holds an older version of every
+    candle too. Every row of silver with the number of the two tables that have it."""
     rows = inputs.candles(spark, sf)
     root = fresh_dir(spark, "bronze")
-    bronze_files.write_bronze(inputs.bronze(rows), root)
-    silver = f"{scratch.namespace(spark, 'silver')}.kline"
-    jobs.backfill(spark, root, silver, "2024-01-10", "2024-01-15", "1h")
-    return _silver_output(spark.table(silver))
+    older = rows.withColumns({"close_price": F.col("close_price") + 5, "ingest_ts": F.col("ingest_ts") - F.make_dt_interval(F.lit(1))})
+    bronze_files.write_bronze(inputs.bronze(rows).unionByName(inputs.bronze(older)), root)
+    once, loop = (f"{scratch.namespace(spark, name)}.kline" for name in ("once", "loop"))
+    for start, end in (("2024-01-10", "2024-01-13"), ("2024-01-12", "2024-01-15")):
+        jobs.backfill(spark, root, once, start, end, "1h")
+    for day in range(10, 15):
+        jobs.bronze_to_silver(spark, root, loop, f"2024-01-{day}", "1h", "merge")
+    both = _silver_output(spark.table(once)).unionAll(_silver_output(spark.table(loop)))
+    return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("tables"))
+
+
+@query
+def overwrite_day_guard(spark, sf):
+    """Day 2024-01-15 is overwritten from bronze; day 2024-01-10, which bronze lacks, is refused and stays."""
+    rows = inputs.candles(spark, sf)
+    table = scratch.filled(spark, SILVER, inputs.target(rows), "kline")
+    root = fresh_dir(spark, "bronze")
+    bronze_files.write_bronze(inputs.bronze(inputs.source(rows)), root)
+    jobs.bronze_to_silver(spark, root, table, DAY, "1h", "overwrite-day")
+    try:
+        jobs.bronze_to_silver(spark, root, table, "2024-01-10", "1h", "overwrite-day")
+    except FileNotFoundError:
+        return _silver_output(spark.table(table))
+    raise AssertionError("a day without bronze files was overwritten")
 
 
 @query
@@ -502,14 +525,15 @@ def daily_chain(spark, sf):
     silver, gold, hot = (scratch.namespace(spark, n) for n in ("silver", "gold", "hot"))
     tables.ensure_hot(spark, hot)
     sinks.write_batch(inputs.stream_rows(inputs.source(rows)), 0, "candle", hot)
+    sinks.write_batch(indicators.technical_indicators(inputs.closed(spark, sf)).drop("interval"), 0, "indicator", hot)
+    sinks.write_batch(patterns.pattern_alerts(inputs.stream_rows(inputs.source(rows))), 0, "alert", hot)
     places = jobs.Places(fresh_dir(spark, "bronze"), f"{silver}.kline", gold, hot, pages)
-    names = "clickusdt,errorbtc,purchaseusdt,signupusdt,viewusdt"
+    names = ",".join(r.symbol.lower() for r in rows.select("symbol").distinct().collect())
     jobs.run_day(spark, places, "2024-01-16", "2024-01-17T00:00:00", names, "1h", 24)
     view = views.kline_unified(*[spark.table(f"{gold}.{t}") for t in (
         "fact_kline", "dim_symbol", "dim_interval", "dim_data_source")])
     return view.select(
-        "symbol", "interval_code", _day("trade_date"), "open_time", "close_price",
-        F.coalesce("number_of_trades", F.lit(-1)).cast("bigint").alias("number_of_trades"), "data_source", "is_final")
+        "symbol", "interval_code", _day("trade_date"), "open_time", "close_price", "number_of_trades", "data_source", "is_final")
 
 
 # --- streaming -----------------------------------------------------------------------------------
@@ -540,6 +564,24 @@ def stream_raw_upsert(spark, sf):
     return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
 
 
+@query
+def stream_restart_newest(spark, sf):
+    """All candles arrive in several batches, the newer part again with corrected closes to a stream that starts over; then a
+    day is compacted. The corrected closes stay."""
+    rows = inputs.stream_rows(inputs.candles(spark, sf))
+    hot = scratch.namespace(spark, "hot")
+    tables.ensure_hot(spark, hot)
+    first, second = fresh_dir(spark, "landed"), fresh_dir(spark, "landed")
+    for part in range(3):
+        scratch.land_json(rows.where(F.pmod(tm.whole_div(F.col("open_time"), tm.HOUR_MS), F.lit(3)) == part).coalesce(1), first)
+    scratch.land_json(inputs.source(rows), second)
+    for folder, options in ((first, {"maxFilesPerTrigger": "1"}), (second, {})):
+        stream = read_candle_stream(spark, "text", {"path": folder, **options})
+        speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)])
+    sinks.compact(spark, hot, "candle", DAY)
+    return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
+
+
 @query
 def stream_pattern_alerts(spark, sf):
     rows = inputs.candles(spark, sf)

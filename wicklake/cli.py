@@ -18,6 +18,10 @@ from wicklake.schemas import SILVER
 from wicklake.streaming import sinks, speed_layer
 
 
+# Lines of the run report that are shown.
+SHOWN = 100
+
+
 def _pairs(items: list[str]) -> dict[str, str]:
     return dict(item.split("=", 1) for item in items)
 
@@ -43,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
 
     silver = job("bronze-to-silver", "bronze", "silver", "process-date")
     silver.add_argument("--mode", default="merge", choices=jobs.MODES)
+    silver.add_argument("--allow-empty", action="store_true", help="let overwrite-day empty a day without bronze files")
 
     gold = job("silver-to-gold", "silver", "hot", "gold", "process-date")
     gold.add_argument("--hot-lookback-hours", type=int, default=48)
@@ -80,7 +85,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jobs.land_pages(
             spark, a.pages, a.bronze, a.symbols, a.interval, a.start_date, a.end_date, as_of, a.overwrite, a.source)
     elif a.job == "bronze-to-silver":
-        jobs.bronze_to_silver(spark, a.bronze, a.silver, a.process_date, a.interval, a.mode).show(100, False)
+        report = jobs.bronze_to_silver(spark, a.bronze, a.silver, a.process_date, a.interval, a.mode, a.allow_empty)
+        report.show(SHOWN, False)
+        if (lines := report.count()) > SHOWN:
+            print(f"the first {SHOWN} of {lines} symbols")
     elif a.job == "silver-to-gold":
         jobs.silver_to_gold(
             spark, a.silver, a.hot, a.gold, a.process_date, as_of, a.interval, a.hot_lookback_hours, a.exchange)

@@ -48,8 +48,10 @@ def in_days(df: DataFrame, start: date | str, end: date | str, column: str = "tr
     return df.where(tm.in_day_range(F.col(column), start, end))
 
 
-def lookback(df: DataFrame, as_of: datetime | str, hours: int = 48, column: str = "open_time") -> DataFrame:
-    """Rows at most `hours` older than `as_of`, by epoch milliseconds."""
+def lookback(df: DataFrame, as_of: datetime | str, hours: int | None = 48, column: str = "open_time") -> DataFrame:
+    """Rows at most `hours` older than `as_of`, by epoch milliseconds; without `hours` all rows."""
+    if hours is None:
+        return df
     return df.where(F.col(column) >= F.lit(tm.as_of_ms(as_of) - hours * tm.HOUR_MS))
 
 

@@ -33,10 +33,10 @@ def daily_summary(df: DataFrame, keys: Sequence[str] = ("trade_date", "symbol",
     )
 
 
-def day_row_counts(df: DataFrame, day: date | str, limit: int = 100) -> DataFrame:
-    """Run report: rows per symbol on one day, by symbol, at most `limit` lines."""
+def day_row_counts(df: DataFrame, day: date | str) -> DataFrame:
+    """Run report: rows per symbol on one day, by symbol."""
     counts = on_day(df, day).groupBy("symbol").agg(F.count(F.lit(1)).alias("row_count"))
-    return counts.orderBy("symbol").limit(limit)
+    return counts.orderBy("symbol")
 
 
 def day_total(df: DataFrame, day: date | str) -> DataFrame:

@@ -11,6 +11,7 @@ from wicklake.functions import time as tm
 from wicklake.functions.text import symbol_list
 from wicklake.operators import clean, summary
 from wicklake.operators.checks import duplicate_keys, missing_references, not_null_counts, require_empty
+from wicklake.operators.merge import absent_rows
 from wicklake.plans import star
 from wicklake.schemas import (
     FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, HOT, SILVER,
@@ -55,18 +56,24 @@ def land_pages(
 
 def bronze_to_silver(
     spark: SparkSession, bronze: str, silver: str, day: date | str, interval: str = "1m", mode: str = "merge",
+    allow_empty: bool = False,
 ) -> DataFrame:
-    """One day of one interval into silver; returns the row counts of that day."""
+    """One day of one interval into silver; returns the row counts of that day.
+
+    `overwrite-day` refuses a day without bronze files before anything is changed, unless `allow_empty` says that the day
+    may be emptied.
+    """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {MODES}")
     tables.ensure_silver(spark, silver)
-    rows = clean.silver_rows(read_bronze(spark, bronze, interval, day))
+    required = mode == "overwrite-day" and not allow_empty
+    rows = clean.silver_rows(read_bronze(spark, bronze, interval, day, required=required))
     if mode == "bootstrap":
         tables.append(rows, SILVER, silver)
     elif mode == "overwrite-day":
         tables.replace_day(rows, SILVER, silver, day)
     else:
-        tables.upsert(rows, SILVER, silver)
+        tables.upsert(rows, SILVER, silver, unique=True)
     return summary.day_row_counts(spark.table(silver), day)
 
 
@@ -77,7 +84,7 @@ def backfill(
     tm.check_range(start, end)
     tables.ensure_silver(spark, silver)
     rows = clean.silver_rows(read_bronze(spark, bronze, interval, start, end))
-    tables.upsert(rows, SILVER, silver)
+    tables.upsert(rows, SILVER, silver, unique=True)
 
 
 def _dim(spark: SparkSession, gold: str, name: str) -> DataFrame:
@@ -95,9 +102,19 @@ def ensure_static(spark: SparkSession, gold: str, intervals: list[str]) -> None:
     _add(spark, gold, "dim_data_source", star.new_sources(spark, _dim(spark, gold, "dim_data_source")))
 
 
-def _replace(spark: SparkSession, gold: str, name: str, rows: DataFrame) -> None:
-    """Replace a whole dimension; the new content is on reliable storage before the old one goes."""
-    tables.overwrite(staged(rows), GOLD[name], f"{gold}.{name}")
+def _batch_symbols(spark: SparkSession, gold: str, names: DataFrame, as_of: datetime | str, exchange: str | None) -> None:
+    """Append new symbols; where a known one differs from what its name says, swap in a corrected dimension.
+
+    The dimension is whole at every moment, so a crash in between loses no id and a second run goes on from there. An empty
+    dimension under a filled fact has been lost, and numbering it anew would give its ids to other symbols.
+    """
+    if _dim(spark, gold, "dim_symbol").isEmpty() and not _dim(spark, gold, "fact_kline").isEmpty():
+        raise ValueError(f"{gold}.dim_symbol is empty but {gold}.fact_kline is not")
+    _add(spark, gold, "dim_symbol", star.new_symbols(_dim(spark, gold, "dim_symbol"), names, as_of, exchange))
+    known = _dim(spark, gold, "dim_symbol")
+    corrected = staged(star.upsert_symbols(known, names, as_of, exchange))
+    if not corrected.exceptAll(known).isEmpty():
+        tables.swap(corrected, GOLD["dim_symbol"], f"{gold}.dim_symbol")
 
 
 def load_batch(
@@ -105,11 +122,11 @@ def load_batch(
     exchange: str | None = None,
 ) -> bool:
     """One day of silver into the dimensions and the two batch facts; False if the day is empty."""
-    rows = clean.of_interval(clean.on_day(tables.read_table(spark, SILVER, silver), day), interval)
+    rows = staged(clean.of_interval(clean.on_day(tables.read_table(spark, SILVER, silver), day), interval))
     if rows.isEmpty():
         return False
-    _replace(spark, gold, "dim_symbol", star.upsert_symbols(_dim(spark, gold, "dim_symbol"), rows, as_of, exchange))
-    _replace(spark, gold, "dim_date", star.upsert_dates(_dim(spark, gold, "dim_date"), rows, "trade_date"))
+    _batch_symbols(spark, gold, rows, as_of, exchange)
+    _add(spark, gold, "dim_date", star.new_dates(_dim(spark, gold, "dim_date"), rows, "trade_date"))
     symbols, intervals = _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_interval")
     require_empty(missing_references(rows, "symbol", symbols), "symbols without a dimension row")
     require_empty(missing_references(rows, "interval", intervals, "interval_code"), "intervals without a dimension row")
@@ -161,7 +178,7 @@ def refresh_hot(
         recent, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_pattern_type"), as_of, hours))
     fact = _dim(spark, gold, "fact_pattern_alert")
     nearby = tables.touched(fact, rows, FACT_ALERT.partition_by)
-    tables.append(staged(star.new_alerts(rows, fact, nearby)), FACT_ALERT, f"{gold}.fact_pattern_alert")
+    tables.append(star.new_alerts(staged(absent_rows(rows, nearby, FACT_ALERT.key)), fact, FACT_ALERT.empty(spark)), FACT_ALERT, f"{gold}.fact_pattern_alert")
 
 
 def silver_to_gold(

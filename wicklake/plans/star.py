@@ -168,7 +168,7 @@ def _hot_ids(rows: DataFrame, dim_symbol: DataFrame, dim_interval: DataFrame, in
 
 def hot_kline_facts(
     hot: DataFrame, dim_symbol: DataFrame, dim_interval: DataFrame, dim_source: DataFrame,
-    as_of: datetime | str, hours: int = 48, interval: str = "1m",
+    as_of: datetime | str, hours: int | None = 48, interval: str = "1m",
 ) -> DataFrame:
     """Candles from the stream: not final, and without the measures only the batch knows."""
     padded = {
@@ -188,7 +188,7 @@ def hot_kline_facts(
 
 def indicator_facts(
     hot: DataFrame, dim_symbol: DataFrame, dim_interval: DataFrame,
-    as_of: datetime | str, hours: int = 48, interval: str = "1m",
+    as_of: datetime | str, hours: int | None = 48, interval: str = "1m",
 ) -> DataFrame:
     recent = lookback(hot, as_of, hours)
     return _hot_ids(recent, dim_symbol, dim_interval, interval).withColumns({
@@ -199,9 +199,9 @@ def indicator_facts(
 
 
 def alert_rows(
-    alerts: DataFrame, dim_symbol: DataFrame, dim_pattern: DataFrame, as_of: datetime | str, hours: int = 48,
+    alerts: DataFrame, dim_symbol: DataFrame, dim_pattern: DataFrame, as_of: datetime | str, hours: int | None = 48,
 ) -> DataFrame:
-    """Alert facts still without an id."""
+    """Alert facts still without an id; without `hours` all of them."""
     recent = lookback(alerts, as_of, hours, "close_time")
     joined = recent.join(dim_symbol.select("symbol_id", "symbol"), "symbol").join(
         dim_pattern.select("pattern_type_id", "pattern_type"), "pattern_type")

@@ -10,9 +10,6 @@ from wicklake.functions import time as tm
 from wicklake.operators.clean import since_hours
 from wicklake.operators.rows import latest_by
 
-BROADCAST_ROWS = 1_000_000
-EARLIEST = -(2**62)
-
 
 def kline_unified(fact: DataFrame, dim_symbol: DataFrame, dim_interval: DataFrame, dim_source: DataFrame) -> DataFrame:
     return (
@@ -38,27 +35,16 @@ def daily_market_summary(fact: DataFrame, dim_symbol: DataFrame, dim_interval: D
 
 def latest_snapshot(
     fact: DataFrame, dim_symbol: DataFrame, dim_interval: DataFrame, dim_source: DataFrame,
-    indicators: DataFrame, series: int | None = None,
+    indicators: DataFrame,
 ) -> DataFrame:
-    """Latest candle of every series with its indicators.
-
-    `series` is an upper bound for the number of series (symbols x intervals). Up to
-    `BROADCAST_ROWS` the keys of the latest candles are broadcast to the indicator scan, which then
-    reads only the dates of those candles; without a bound the indicators are joined as they are.
-    """
+    """Latest candle of every series with its indicators, which are found by series and open time."""
     keys = ["symbol_id", "interval_id"]
     latest = latest_by(
         fact, keys, "open_time",
         ["date_id", "open_ts", "close_price", "volume", "data_source_id", "is_final", "updated_at"])
-    values = indicators.select(*keys, "date_id", "open_time", "sma7", "sma25", "rsi14", "macd", "macd_signal", "macd_hist")
-    if series is not None and series <= BROADCAST_ROWS:
-        # Holds for every row; dynamic partition pruning wants a condition on the filtering side.
-        always = F.col("open_time") > F.lit(EARLIEST)
-        wanted = latest.where(always).select(
-            *keys, tm.utc_date(F.col("open_time")).alias("date_id"), "open_time")
-        values = values.join(F.broadcast(wanted), [*keys, "date_id", "open_time"], "left_semi")
+    values = indicators.select(*keys, "open_time", "sma7", "sma25", "rsi14", "macd", "macd_signal", "macd_hist")
     return (
-        latest.join(values.drop("date_id"), [*keys, "open_time"], "left")
+        latest.join(values, [*keys, "open_time"], "left")
         .join(dim_symbol.select("symbol_id", "symbol"), "symbol_id")
         .join(dim_interval.select("interval_id", "interval_code"), "interval_id")
         .join(dim_source.select("data_source_id", "source_code"), "data_source_id", "left")
@@ -89,13 +75,12 @@ def register(spark: SparkSession, gold: str, as_of: datetime | str) -> None:
     t = {name: spark.table(f"{gold}.{name}") for name in (
         "dim_symbol", "dim_interval", "dim_date", "dim_data_source", "dim_pattern_type", "fact_kline",
         "fact_daily_market_summary", "fact_technical_indicator", "fact_pattern_alert")}
-    series = t["dim_symbol"].count() * t["dim_interval"].count()
     kline_unified(t["fact_kline"], t["dim_symbol"], t["dim_interval"], t["dim_data_source"]) \
         .createOrReplaceTempView("vw_kline_unified")
     daily_market_summary(t["fact_daily_market_summary"], t["dim_symbol"], t["dim_interval"]) \
         .createOrReplaceTempView("vw_daily_market_summary")
     latest_snapshot(
         t["fact_kline"], t["dim_symbol"], t["dim_interval"], t["dim_data_source"],
-        t["fact_technical_indicator"], series).createOrReplaceTempView("vw_latest_market_snapshot")
+        t["fact_technical_indicator"]).createOrReplaceTempView("vw_latest_market_snapshot")
     recent_alerts(t["fact_pattern_alert"], t["dim_symbol"], t["dim_date"], t["dim_pattern_type"], as_of) \
         .createOrReplaceTempView("vw_pattern_alerts_recent")

@@ -68,10 +68,25 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """`df` written once to reliable storage; later passes read that copy."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """`df` written once, as Parquet in the shared folder; later passes read the columns they need from that copy.
+
+    The copies of a session lie in one folder and go with `drop_staged`.
+    """
+    spark = df.sparkSession
+    path = f"{_staged_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _staged_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what `staged` has written in this application. Frames that read it cannot be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

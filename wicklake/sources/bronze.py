@@ -40,16 +40,19 @@ def _found(spark: SparkSession, globs: list[str]) -> list[str]:
 
 
 def read_bronze(
-    spark: SparkSession, root: str, interval: str, start: date | str, end: date | str | None = None,
+    spark: SparkSession, root: str, interval: str, start: date | str, end: date | str | None = None, required: bool = False,
 ) -> DataFrame:
     """Candles of one interval for one day, or for the half-open range `start`..`end`.
 
-    Only the folders of the range are listed and read. A day without files gives no rows.
+    Only the folders of the range are listed and read. A day without files gives no rows, or is an error if its files are
+    `required`; files without rows are none.
     """
     start = tm.parse_day(start)
     start, end = tm.check_range(start, end if end is not None else start + timedelta(days=1))
     globs = _found(spark, _day_globs(root, interval, start, end))
     if not globs:
+        if required:
+            raise FileNotFoundError(f"no {interval} files from {start} to {end} in {root}")
         return BRONZE.empty(spark)
     files = spark.read.schema(_FILE_SCHEMA).option("basePath", root).parquet(*globs)
     day = F.make_date("year", "month", "day")

@@ -6,18 +6,23 @@ touches. On a catalog that has them, `merge_into` runs one MERGE instead.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wicklake.functions.time import parse_day
-from wicklake.operators.checks import duplicate_keys, require_empty
+from wicklake.operators.checks import require_empty
 from wicklake.operators.merge import absent_rows, merge_rows
 from wicklake.schemas import GOLD, HOT, SILVER, Layout
 from wicklake.session import runtime_conf, staged
 
 BROADCAST_PARTITIONS = 100_000
+SMALL_TASK = "64k"
+_LEAST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -54,14 +59,19 @@ def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 def gathered(df: DataFrame, layout: Layout) -> DataFrame:
     """Rows of one partition together, so that a partition gets few files.
 
-    Small partitions are spread over as many tasks as the session shuffles into. Larger ones carry the
-    rebalance hint, with which adaptive execution splits a partition too large for one task.
+    The rebalance hint lets adaptive execution split a partition too large for one task and join small ones.
     """
-    columns = [F.col(c) for c in layout.partition_by]
-    if layout.small_partitions:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(tasks, *columns)
-    return df.hint("rebalance", *columns)
+    return df.hint("rebalance", *[F.col(c) for c in layout.partition_by])
+
+
+@contextmanager
+def writer_tasks(spark: SparkSession, layout: Layout):
+    """Where partitions are small a write is mostly opening files, so tasks are joined up to little data only."""
+    if not layout.small_partitions:
+        yield
+        return
+    with runtime_conf(spark, _LEAST_TASK, SMALL_TASK):
+        yield
 
 
 def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
@@ -75,7 +85,8 @@ def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
 def _insert(df: DataFrame, layout: Layout, table: str, overwrite: bool) -> None:
     spark = df.sparkSession
     columns = spark.table(table).columns
-    _laid_out(df, layout).select(*columns).write.insertInto(table, overwrite=overwrite)
+    with writer_tasks(spark, layout):
+        _laid_out(df, layout).select(*columns).write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
 
 
@@ -83,10 +94,18 @@ def append(df: DataFrame, layout: Layout, table: str) -> None:
     _insert(df, layout, table, overwrite=False)
 
 
-def overwrite(df: DataFrame, layout: Layout, table: str) -> None:
-    """Replace a whole table; `df` must not read it."""
-    with runtime_conf(df.sparkSession, _MODE, "static"):
-        _insert(df, layout, table, overwrite=True)
+def swap(df: DataFrame, layout: Layout, table: str) -> None:
+    """Replace a whole table without partitions; `df` may read it.
+
+    The rows go to a new folder and the table then points there, so it is whole at every moment. The old folder stays for
+    those who still read it.
+    """
+    spark = df.sparkSession
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    folder = f"{re.sub('-[0-9a-f]{32}$', '', facts['Location'].rstrip('/'))}-{uuid.uuid4().hex}"
+    df.select(*layout.names).write.format(facts["Provider"]).save(folder)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
 
 
 def replace_partitions(df: DataFrame, layout: Layout, table: str) -> None:
@@ -107,7 +126,7 @@ def replace_day(df: DataFrame, layout: Layout, table: str, day: date | str) -> N
     require_empty(df.where(~F.col(first).eqNullSafe(F.lit(day))).select(first), f"rows outside {day}")
     columns = [c for c in spark.table(table).columns if c != first]
     spec = ", ".join([f"{first} = DATE '{day}'", *rest])
-    with runtime_conf(spark, _MODE, "static"):
+    with runtime_conf(spark, _MODE, "static"), writer_tasks(spark, layout):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {', '.join(columns)} FROM {{rows}}",
             rows=_laid_out(df, layout))
@@ -120,8 +139,11 @@ def touched(target: DataFrame, source: DataFrame, parts: Sequence[str]) -> DataF
     The range of the leading partition column is a literal, so it prunes before anything is listed. The
     partitions themselves are counted and broadcast if they are few, which prunes the scan to them.
     """
+    return _inside(target, staged(source.select(*parts).distinct()), parts)
+
+
+def _inside(target: DataFrame, places: DataFrame, parts: Sequence[str]) -> DataFrame:
     lead = parts[0]
-    places = source.select(*parts).distinct()
     count, low, high = places.agg(F.count(F.lit(1)), F.min(lead), F.max(lead)).first()
     if not count:
         return target.where(F.lit(False))
@@ -133,20 +155,33 @@ def touched(target: DataFrame, source: DataFrame, parts: Sequence[str]) -> DataF
 
 def upsert(
     source: DataFrame, layout: Layout, table: str,
-    update: Sequence[str] | None = None, keep_if: str | None = None,
+    update: Sequence[str] | None = None, keep_if: str | None = None, unique: bool = False,
 ) -> None:
-    """Upsert by key. Partition columns must follow from the key, so a key never changes partition."""
+    """Upsert by key. Partition columns must follow from the key, so a key never changes partition.
+
+    The source is staged once. One aggregate over its keys gives the partitions it touches and whether a key repeats; a
+    caller that has made keys `unique` spares the count. Tables with row-level commands get one MERGE.
+    """
     spark = source.sparkSession
     source = staged(source.select(*layout.names))
-    require_empty(duplicate_keys(source, layout.key), f"source of {table} repeats keys")
     target = read_table(spark, layout, table)
-    if layout.partition_by:
-        merged = merge_rows(touched(target, source, layout.partition_by), source, layout.key, update, keep_if)
+    parts = list(layout.partition_by)
+    keys = source.select(*dict.fromkeys([*parts, *layout.key]))
+    if not unique:
+        keys = keys.groupBy(*layout.key).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.min(p).alias(p) for p in parts if p not in layout.key])
+        worst = F.max("_n")
+    else:
+        worst = F.lit(1)
+    places = staged(keys.groupBy(*parts).agg(worst.cast("bigint").alias("_n")))
+    require_empty(places.where("_n > 1").select(*parts, "_n"), f"source of {table} repeats keys")
+    if row_level(spark, table):
+        merge_into(source, layout, table, update, keep_if)
+    elif parts:
+        merged = merge_rows(_inside(target, places, parts), source, layout.key, update, keep_if)
         replace_partitions(merged, layout, table)
     else:
-        # The whole table is replaced, so the result is written elsewhere before the table is cleared.
-        merged = staged(merge_rows(target, source, layout.key, update, keep_if))
-        overwrite(merged, layout, table)
+        swap(merge_rows(target, source, layout.key, update, keep_if), layout, table)
 
 
 def insert_absent(source: DataFrame, layout: Layout, table: str) -> None:
@@ -160,11 +195,24 @@ def insert_absent(source: DataFrame, layout: Layout, table: str) -> None:
     append(fresh, layout, table)
 
 
-def merge_into(source: DataFrame, layout: Layout, table: str) -> None:
-    """Upsert with one MERGE, for a catalog with row-level commands."""
+# Providers whose tables take MERGE.
+ROW_LEVEL = ("iceberg", "delta", "hudi")
+
+
+def row_level(spark: SparkSession, table: str) -> bool:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
+    return found is not None and found["data_type"].lower() in ROW_LEVEL
+
+
+def merge_into(
+    source: DataFrame, layout: Layout, table: str, update: Sequence[str] | None = None, keep_if: str | None = None,
+) -> None:
+    """Upsert with one MERGE, for a table with row-level commands."""
     on = [F.col(f"{table}.{c}") == F.col(f"source.{c}") for c in layout.key]
     condition = on[0]
     for term in on[1:]:
         condition = condition & term
-    source.select(*layout.names).alias("source").mergeInto(table, condition) \
-        .whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    changed = [c for c in layout.names if c not in layout.key and (update is None or c in update)]
+    free = ~F.coalesce(F.col(f"{table}.{keep_if}"), F.lit(False)) if keep_if else None
+    matched = source.select(*layout.names).alias("source").mergeInto(table, condition).whenMatched(free)
+    matched.update({c: F.col(f"source.{c}") for c in changed}).whenNotMatched().insertAll().merge()

@@ -7,7 +7,7 @@ merges into the table instead.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,7 @@ from wicklake.operators.clean import on_day
 from wicklake.operators.patterns import pattern_alerts
 from wicklake.operators.rows import first_row
 from wicklake.schemas import HOT, STREAM_ALERT, STREAM_CANDLE, STREAM_INDICATOR, Layout
+from wicklake.session import staged
 from wicklake.sources import tables
 
 PLAIN = {"candle": STREAM_CANDLE, "alert": STREAM_ALERT, "indicator": STREAM_INDICATOR}
@@ -23,9 +24,13 @@ TIME = {"candle": "open_time", "alert": "close_time", "indicator": "open_time"}
 
 
 def _newest_first(columns: list[str]) -> list:
-    """Later batch, later arrival; of candles that arrived together the closed one is the later."""
+    """Later arrival at the source; of candles that arrived together the closed one is the later.
+
+    A batch number says nothing across checkpoints, where it starts at 0 again, so it comes last. Rows that carry no
+    place in the source have the start of their run as arrival and their batch as place.
+    """
     closed = ["is_closed"] if "is_closed" in columns else []
-    order = ["batch_id", "arrival_ts", *closed, "arrival_at", "arrival_seq"]
+    order = ["arrival_ts", *closed, "arrival_at", "arrival_seq", "batch_id"]
     return [F.col(c).desc_nulls_last() for c in order]
 
 
@@ -33,21 +38,25 @@ def newest(log: DataFrame, name: str) -> DataFrame:
     return first_row(log, PLAIN[name].key, _newest_first(log.columns))
 
 
-def log_rows(batch: DataFrame, batch_id: int, name: str) -> DataFrame:
-    """One log entry per key of a micro-batch."""
+def log_rows(batch: DataFrame, batch_id: int, name: str, run: datetime | None = None) -> DataFrame:
+    """One log entry per key of a micro-batch; `run` is when the stream was started."""
     layout: Layout = HOT[name]
-    seq = F.monotonically_increasing_id()
+    placed = "arrival_seq" in batch.columns
+    # Rows of a file know where their block starts; they are counted from there on. A row takes a byte at least.
+    in_block = F.when(F.col("arrival_at").contains("/"), F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))).otherwise(0)
     rows = batch.withColumns({
         "trade_date": tm.utc_date(F.col(TIME[name])), "batch_id": F.lit(batch_id).cast("bigint"),
-        "arrival_seq": F.coalesce("arrival_seq", F.lit(0)) + seq if "arrival_seq" in batch.columns else seq,
-        **{c: F.lit(None).cast(kind) for c, kind in layout.columns
-           if c in ("arrival_ts", "arrival_at") and c not in batch.columns},
+        **({"arrival_seq": F.col("arrival_seq") + in_block} if placed else {
+            "arrival_ts": F.lit(run).cast("timestamp"), "arrival_at": F.lit(None).cast("string"),
+            "arrival_seq": F.lit(batch_id).cast("bigint")}),
     })
     return newest(rows.select(*layout.names), name)
 
 
-def write_batch(batch: DataFrame, batch_id: int, name: str, hot: str, as_upsert: bool = False) -> None:
-    rows = log_rows(batch, batch_id, name)
+def write_batch(
+    batch: DataFrame, batch_id: int, name: str, hot: str, as_upsert: bool = False, run: datetime | None = None,
+) -> None:
+    rows = log_rows(batch, batch_id, name, run)
     table = f"{hot}.{name}"
     if as_upsert:
         layout = HOT[name]
@@ -69,24 +78,44 @@ def read_hot(
 
 
 def compact(spark: SparkSession, hot: str, name: str, day: date | str) -> None:
-    """Keep only the newest entries of one day."""
-    log = on_day(tables.read_table(spark, HOT[name], f"{hot}.{name}"), day)
-    tables.replace_day(newest(log, name), HOT[name], f"{hot}.{name}", day)
+    """Keep only the newest entries of one day.
+
+    The entries of the files that are there now are appended once more, each newest one, and then those files go. What a
+    stream appends meanwhile lies in other files and stays. Readers see entries twice for a moment, which they collapse
+    anyway, and so they do after a crash in between.
+    """
+    table = f"{hot}.{name}"
+    spark.catalog.refreshTable(table)
+    log = on_day(spark.table(table), day)
+    files = [r["file_path"] for r in log.select("_metadata.file_path").distinct().collect()]
+    if not files:
+        return
+    known = log.where(F.col("_metadata.file_path").isin(files)).select(*HOT[name].names)
+    tables.append(staged(newest(known, name)), HOT[name], table)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for file in files:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(file))
+        path.getFileSystem(conf).delete(path, False)
+    spark.catalog.refreshTable(table)
 
 
 def raw_and_alerts(hot: str, as_upsert: bool = False):
     """`foreachBatch` function: one read of the micro-batch feeds two tables."""
+    run = datetime.now(timezone.utc)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_batch(batch, batch_id, "candle", hot, as_upsert)
-            write_batch(pattern_alerts(batch), batch_id, "alert", hot, as_upsert)
+            write_batch(batch, batch_id, "candle", hot, as_upsert, run)
+            write_batch(pattern_alerts(batch), batch_id, "alert", hot, as_upsert, run)
         finally:
             batch.unpersist()
     return write
 
 
 def indicators(hot: str, as_upsert: bool = False):
+    run = datetime.now(timezone.utc)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, "indicator", hot, as_upsert)
+        write_batch(batch, batch_id, "indicator", hot, as_upsert, run)
     return write
