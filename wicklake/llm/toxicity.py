@@ -26,6 +26,9 @@ FUZZY_FROM = 5
 # Words on either side of a hit that its context is read from.
 WINDOW = 6
 
+# A feature is judged from so many documents of the sample.
+LEAST_SEEN = 5
+
 _CORE = re.compile(r"\w+")
 _QUOTES = "\"'«»“”„‘’‹›"
 # Fixed lists of words that report what others said, in the four languages of the test tables.
@@ -203,37 +206,43 @@ def _sample(docs: DataFrame, labels: DataFrame, toxic: int, other: int) -> DataF
 def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other: int = SAMPLE_OTHER) -> Model:
     """Lexicon, context weights and weights of the features, from at most `toxic` and `other` labelled documents.
 
-    Near copies in the sample count once. A word or stem joins the lexicon if its documents are toxic so much more often than
+    Near copies in the sample count once, and so does a term with one and the same word before it. A word or stem joins the lexicon if its documents are toxic so much more often than
     the sample's that chance over all terms (or all stems of LEAST_ENDINGS such words) does not explain it, and few others have it. The features' weights are fitted on
     documents that the lexicon was not taken from (two halves, each by the lexicon of the other), by logistic regression;
     the final lexicon is that of both. Only doc_id and toxic of `labels` and doc_id and text of `docs` are read.
     """
     text_batches(docs.sparkSession)
 
+    pair = pa.struct([("word", pa.string()), ("before", pa.string())])
+
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: dict[str, list] = {"sign": [], "label": [], "words": []}
             for body, label in zip(batch["body"].to_pylist(), batch["label"].to_pylist()):
                 tokens = _tokens(body)
-                words = {w for t in set(tokens) for w in _CORE.findall(t) if len(w) >= 3}
+                # Each word with what stands before it the first time.
+                words = {w: before for before, t in reversed(list(zip(["", *tokens], tokens))) for w in _CORE.findall(t) if len(w) >= 3}
                 rows["sign"].append(_signature(tokens))
                 rows["label"].append(label)
-                rows["words"].append(sorted(words))
-            yield pa.RecordBatch.from_pydict(rows, pa.schema([("sign", pa.int64()), ("label", pa.int32()), ("words", pa.list_(pa.string()))]))
+                rows["words"].append([{"word": w, "before": words[w]} for w in sorted(words)])
+            yield pa.RecordBatch.from_pydict(rows, pa.schema([("sign", pa.int64()), ("label", pa.int32()), ("words", pa.list_(pair))]))
 
     sample = _sample(docs, labels, toxic, other)
-    counted = sample.mapInArrow(terms, "sign long, label int, words array<string>").groupBy("sign", "label").agg(F.min("words").alias("words"))
+    counted = sample.mapInArrow(terms, "sign long, label int, words array<struct<word string, before string>>").groupBy("sign", "label").agg(F.min("words").alias("words"))
     counted = counted.withColumn("half", (F.col("sign") % 2).cast("int")).persist()
     sizes = {(r["label"], r["half"]): r["n"] for r in counted.groupBy("label", "half").agg(F.count("*").alias("n")).collect()}
     of = lambda label, half: F.sum(F.when((F.col("label") == label) & (F.col("half") == half), 1).otherwise(0)).alias(f"n{label}{half}")
-    each = counted.select("label", "half", F.explode("words").alias("word"))
     tallies = [of(1, 0), of(1, 1), of(0, 0), of(0, 1)]
-    words = each.groupBy("word").agg(*tallies)
+    # Of toxic documents in which the same word stands before a term, only one counts: copies repeat a term's surroundings too.
+    each = (counted.select("label", "half", F.explode("words").alias("w")).select("label", "half", "w.word", "w.before")
+            .groupBy("word", "before", "label", "half").agg(F.count("*").alias("n")))
+    several = lambda label, half: F.sum(F.when((F.col("label") == label) & (F.col("half") == half), F.lit(1) if label else F.col("n")).otherwise(0))
+    words = each.groupBy("word").agg(*[several(label, half).alias(f"n{label}{half}") for label in (1, 0) for half in (0, 1)])
     tally = [(r["word"], False, r) for r in words.filter("n10 + n11 >= 2 AND n10 + n11 > n00 + n01").collect()]
     endings = Counter(word[:n] for word, _, _ in tally for n in STEM if len(word) > n)
     likely = sorted(s for s, k in endings.items() if k >= LEAST_ENDINGS)
     if likely:
-        begins = F.flatten(F.transform("words", lambda w: F.array(*[F.substring(w, 1, n) for n in STEM])))
+        begins = F.flatten(F.transform("words", lambda w: F.array(*[F.substring(w["word"], 1, n) for n in STEM])))
         stems = counted.select("label", "half", F.explode(F.array_intersect(begins, F.lit(likely))).alias("stem")).groupBy("stem").agg(*tallies)
         tally += [(r["stem"], True, r) for r in stems.collect()]
     vocabulary = max(2, words.count())
@@ -302,6 +311,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
         w += step
         if np.abs(step).max() < 1e-8:
             break
+    # A kind of hit that the sample does not show says nearly as much as the kinds that it shows.
+    for kind in range(3):
+        if (x[:, kind] > 0).sum() < LEAST_SEEN:
+            w[kind] = 0.8 * max(0.0, *(w[k] for k in range(3) if (x[:, k] > 0).sum() >= LEAST_SEEN), 0.0)
     # Hits never speak against toxicity, nor does what is quoted speak for it more than what is not.
     w[:3] = np.maximum(w[:3], 0)
     w[3] = min(w[3], w[:3].min())
