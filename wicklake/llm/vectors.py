@@ -19,10 +19,10 @@ WINDOW = 0.6
 # Share of the pairs at the threshold that must pass the count.
 RECALL = 0.99
 # Cells: about so many vectors each, around pivots taken from the table, at most so many.
-CELL_ROWS = 1024
-MOST_PIVOTS = 4096
+CELL_ROWS = 512
+MOST_PIVOTS = 16384
 # A vector also goes to pivots that are nearly as close as the closest one.
-MARGIN = 0.12
+MARGIN = 0.06
 # A cell with more rows is compared block by block.
 BLOCK_ROWS = 2048
 
