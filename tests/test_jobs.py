@@ -8,7 +8,7 @@ from wicklake.operators.checks import duplicate_keys
 from wicklake.plans import jobs, views
 from wicklake.schemas import BRONZE, GOLD, SILVER
 from wicklake.session import fresh_dir, staged
-from wicklake.sources import bronze, export, tables
+from wicklake.sources import bronze, decode, export, tables
 from wicklake.streaming import sinks
 
 DAY = "2024-01-15"
@@ -195,6 +195,51 @@ def test_registered_views(spark, loaded, candles):
     assert spark.sql("select * from vw_pattern_alerts_recent").count() == 7
 
 
+def test_created_views_equal_the_queries(spark, loaded):
+    _, gold, _ = loaded
+    views.create(spark, gold)
+    views.register(spark, gold, "2024-01-31T00:00:00")
+    for name in ("vw_kline_unified", "vw_daily_market_summary", "vw_latest_market_snapshot"):
+        stored, query = spark.table(f"{gold}.{name}"), spark.table(name)
+        assert stored.columns == query.columns
+        assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, query.collect()), key=repr) != []
+    recent = spark.table(f"{gold}.vw_pattern_alerts_recent")
+    assert recent.columns == spark.table("vw_pattern_alerts_recent").columns and recent.count() == 0
+
+
+def test_hot_tables_from_outside_the_catalog(spark, loaded, candles):
+    _, _, hot = loaded
+    gold, silver, root = scratch.namespace(spark, "gold"), silver_table(spark), fresh_dir(spark, "outside")
+    tables.ensure_silver(spark, silver)
+    for name in sinks.PLAIN:
+        sinks.read_hot(spark, hot, name).write.parquet(f"{root}/{name}")
+    read = jobs.external_reader("parquet", {"path": root + "/{table}"})
+    inside = scratch.namespace(spark, "gold")
+    jobs.silver_to_gold(spark, silver, "", gold, DAY, "2024-01-30T00:00:00", "1h", 24, read=read)
+    jobs.silver_to_gold(spark, silver, hot, inside, DAY, "2024-01-30T00:00:00", "1h", 24)
+    for name in GOLD:
+        a, b = (sorted(map(tuple, spark.table(f"{g}.{name}").collect()), key=repr) for g in (gold, inside))
+        assert a == b, name
+
+
+def test_pages_are_read_by_day(spark, candles):
+    pages, out = fresh_dir(spark, "pages"), fresh_dir(spark, "bronze")
+    inputs.pages(candles).withColumn("day", F.date_from_unix_date(F.col("page_no").cast("int"))).write.partitionBy("day").json(pages)
+    landed = spark.read.schema(jobs.PAGE_SCHEMA).json(pages)
+    plan = landed.where(landed.day.isNull() | (landed.day == F.lit(DAY).cast("date")))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(day" in plan
+    jobs.land_pages(spark, pages, out, "clickusdt", "1h", DAY, "2024-01-16", "2024-01-20T00:00:00")
+    assert bronze.read_bronze(spark, out, "1h", DAY).count() == candles.where(f"trade_date = '{DAY}' and symbol = 'CLICKUSDT'").count()
+
+
+def test_events_are_published_as_candles(spark, candles):
+    raw, topic = fresh_dir(spark, "raw"), fresh_dir(spark, "topic")
+    inputs.events_json(candles).write.text(raw)
+    jobs.publish_events(spark, "text", {"path": raw}, "text", {"path": topic}, fresh_dir(spark, "state"), {"availableNow": True}).awaitTermination()
+    sent = decode.decode_candles(spark.read.text(topic))
+    assert sent.exceptAll(decode.decode_events(spark.read.text(raw))).isEmpty() and sent.count() > 3000
+
+
 def test_latest_snapshot_joins_by_series_and_time(spark, loaded):
     """Also an indicator whose date is not the day of its open time."""
     _, gold, _ = loaded

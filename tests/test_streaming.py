@@ -43,7 +43,7 @@ def run_indicators(spark, folder, hot, state, per_trigger=1):
 
 def run_raw(spark, folder, hot, state, as_upsert=False, per_trigger=1):
     stream = read_candle_stream(spark, "text", {"path": folder, "maxFilesPerTrigger": str(per_trigger)})
-    speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, state, NOW, as_upsert)])
+    speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, state, NOW, as_upsert))
 
 
 def test_late_rows_are_dropped_by_the_current_watermark(spark):
@@ -143,6 +143,21 @@ def test_compaction_keeps_what_arrives_meanwhile(spark, small, monkeypatch):
     assert tables.read_table(spark, HOT["candle"], f"{hot}.candle").where("trade_date = date'2024-01-15'").count() == 2 * late.count()
 
 
+def test_backlog_is_emitted_in_frames(spark, monkeypatch):
+    from wicklake.streaming import processor
+
+    monkeypatch.setattr(processor, "FRAME_ROWS", 7)
+    folder, hot = fresh_dir(spark, "in"), hot_namespace(spark)
+    land(folder, 0, [candle("A", 1_000_000 + i * 60_000, 100.0 + i % 9) for i in range(100)])
+    land(folder, 1, [candle("Z", 90_000_000_000, 1.0, closed=False)])
+    run_indicators(spark, folder, hot, fresh_dir(spark, "state"))
+    got = sinks.read_hot(spark, hot, "indicator").orderBy("open_time").collect()
+    closes = [100.0 + i % 9 for i in range(100)]
+    assert len(got) == 100
+    for i, row in enumerate(got):
+        assert abs(row.sma25 - sum(closes[max(0, i - 24):i + 1]) / min(i + 1, 25)) < 1e-9
+
+
 def test_statement_set_fills_three_tables(spark):
     folder, hot, state = fresh_dir(spark, "in"), scratch.namespace(spark, "hot"), fresh_dir(spark, "state")
     land(folder, 0, [candle("A", 1_000_000 + i * 60_000, 100.5 if i % 2 else 109.0) for i in range(40)])

@@ -521,7 +521,7 @@ def daily_chain(spark, sf):
     """Pages to bronze, silver and gold for one day, then the stream rows since; the unified view."""
     rows = inputs.candles(spark, sf)
     pages = fresh_dir(spark, "pages")
-    inputs.pages(rows).write.json(pages)
+    inputs.pages(rows).withColumn("day", F.date_from_unix_date(F.col("page_no").cast("int"))).write.partitionBy("day").json(pages)
     silver, gold, hot = (scratch.namespace(spark, n) for n in ("silver", "gold", "hot"))
     tables.ensure_hot(spark, hot)
     sinks.write_batch(inputs.stream_rows(inputs.source(rows)), 0, "candle", hot)
@@ -558,7 +558,7 @@ def stream_raw_upsert(spark, sf):
     tables.ensure_hot(spark, hot)
     for attempt in range(2):
         stream = read_candle_stream(spark, "text", {"path": folder})
-        speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, state, NOW)])
+        speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, state, NOW))
         if attempt == 0:
             scratch.land_json(inputs.source(rows), folder)
     return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
@@ -577,7 +577,7 @@ def stream_restart_newest(spark, sf):
     scratch.land_json(inputs.source(rows), second)
     for folder, options in ((first, {"maxFilesPerTrigger": "1"}), (second, {})):
         stream = read_candle_stream(spark, "text", {"path": folder, **options})
-        speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)])
+        speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW))
     sinks.compact(spark, hot, "candle", DAY)
     return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
 
@@ -588,7 +588,7 @@ def stream_pattern_alerts(spark, sf):
     folder, hot = _landed(spark, rows), scratch.namespace(spark, "hot")
     tables.ensure_hot(spark, hot)
     stream = read_candle_stream(spark, "text", {"path": folder})
-    speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)])
+    speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW))
     return sinks.read_hot(spark, hot, "alert")
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 from wicklake.functions.text import symbol_list
 from wicklake.functions.time import in_day_range
 from wicklake.operators.clean import of_interval, of_symbols
-from wicklake.plans import jobs
-from wicklake.session import spark_session
+from wicklake.plans import jobs, views
+from wicklake.session import drop_staged, spark_session
 from wicklake.sources import tables
 from wicklake.sources.export import export_csv
 from wicklake.schemas import SILVER
@@ -52,6 +52,8 @@ def parser() -> argparse.ArgumentParser:
     gold = job("silver-to-gold", "silver", "hot", "gold", "process-date")
     gold.add_argument("--hot-lookback-hours", type=int, default=48)
     gold.add_argument("--exchange", default=None)
+    gold.add_argument("--hot-format", default=None, help="read the stream tables behind this data source")
+    gold.add_argument("--hot-option", action="append", default=[], help="key=value; {table} stands for the table's name")
     as_of(gold)
 
     day = job("run-day", "bronze", "silver", "hot", "gold", "run-date")
@@ -73,6 +75,15 @@ def parser() -> argparse.ArgumentParser:
     compact = job("compact", "hot", "date")
     compact.add_argument("--table", default="candle", choices=sorted(sinks.PLAIN))
 
+    events = job("publish-events", "checkpoint", "to")
+    events.add_argument("--format", default="kafka")
+    events.add_argument("--option", action="append", default=[], help="key=value, passed to the source")
+    events.add_argument("--to-option", action="append", default=[], help="key=value, passed to the sink of format --to")
+    events.add_argument("--once", action="store_true", help="process what is there and stop")
+
+    job("check-gold", "gold")
+    job("create-views", "gold")
+
     job("export-csv", "silver", "symbols", "start-date", "end-date", "out")
     return top
 
@@ -91,7 +102,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             print(f"the first {SHOWN} of {lines} symbols")
     elif a.job == "silver-to-gold":
         jobs.silver_to_gold(
-            spark, a.silver, a.hot, a.gold, a.process_date, as_of, a.interval, a.hot_lookback_hours, a.exchange)
+            spark, a.silver, a.hot, a.gold, a.process_date, as_of, a.interval, a.hot_lookback_hours, a.exchange,
+            jobs.external_reader(a.hot_format, _pairs(a.hot_option)) if a.hot_format else jobs.read_hot)
     elif a.job == "run-day":
         places = jobs.Places(a.bronze, a.silver, a.gold, a.hot, a.pages)
         jobs.run_day(spark, places, a.run_date, as_of, a.symbols, a.interval, a.hot_lookback_hours)
@@ -102,12 +114,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         speed_layer.drain(speed_layer.run_speed_layer(
             spark, a.format, _pairs(a.option), a.hot, a.checkpoints, a.start, trigger, a.upsert,
             a.state_partitions))
+    elif a.job == "publish-events":
+        trigger = {"availableNow": True} if a.once else None
+        jobs.publish_events(
+            spark, a.format, _pairs(a.option), a.to, _pairs(a.to_option), a.checkpoint, trigger).awaitTermination()
+    elif a.job == "check-gold":
+        jobs.check_gold(spark, a.gold)
+    elif a.job == "create-views":
+        views.create(spark, a.gold)
     elif a.job == "compact":
         sinks.compact(spark, a.hot, a.table, a.date)
     elif a.job == "export-csv":
         rows = of_interval(tables.read_table(spark, SILVER, a.silver), a.interval)
         days = rows.where(in_day_range(rows["trade_date"], a.start_date, a.end_date))
         export_csv(of_symbols(days, symbol_list(a.symbols)), a.out)
+    drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from wicklake.functions import time as tm
 from wicklake.functions.text import symbol_list
@@ -19,11 +21,24 @@ from wicklake.schemas import (
 from wicklake.session import staged
 from wicklake.sources import tables
 from wicklake.sources.bronze import existing_partitions, read_bronze, write_bronze
-from wicklake.sources.decode import decode_pages
-from wicklake.streaming.sinks import read_hot
+from wicklake.sources.decode import decode_events, decode_pages, publish
+from wicklake.sources.external import read_external
+from wicklake.streaming.sinks import PLAIN, TIME, read_hot
+
+# (session, place, table, as_of, hours) -> current rows of a stream table.
+HotReader = Callable[..., DataFrame]
+
+
+def external_reader(fmt: str, options: dict[str, str]) -> HotReader:
+    """Reads stream tables behind a Spark data source. `{table}` in an option stands for the table's name."""
+    def read(spark: SparkSession, hot: str, name: str, as_of: datetime | str | None = None, hours: int = 48) -> DataFrame:
+        named = {k: v.replace("{table}", f"{hot}.{name}" if hot else name) for k, v in options.items()}
+        return read_external(spark, PLAIN[name], fmt, named, TIME[name], as_of, hours)
+    return read
+
 
 MODES = ("bootstrap", "merge", "overwrite-day")
-PAGE_SCHEMA = "symbol string, interval string, page_no bigint, body string"
+PAGE_SCHEMA = "symbol string, interval string, page_no bigint, body string, day date"
 
 
 @dataclass(frozen=True)
@@ -42,10 +57,15 @@ def land_pages(
     start: date | str, end: date | str, ingest_ts: datetime | str, overwrite: bool = False,
     source: str = "rest_api",
 ) -> None:
-    """Decode landed page files (JSON lines) of some symbols and days into bronze."""
+    """Decode landed page files (JSON lines) of some symbols and days into bronze.
+
+    Pages lie in folders `day=`, also `interval=` and `symbol=` if there are many, of which only those of the range are read.
+    Pages outside of such folders have no day and are read always.
+    """
     start, end = tm.check_range(start, end)
     landed = spark.read.schema(PAGE_SCHEMA).json(pages)
-    wanted = landed.where((F.col("interval") == interval) & F.col("symbol").isin(symbol_list(symbols)))
+    days = F.col("day").isNull() | tm.in_day_range(F.col("day"), start, end)
+    wanted = landed.where(days & (F.col("interval") == interval) & F.col("symbol").isin(symbol_list(symbols)))
     stamp = F.lit(datetime.fromtimestamp(tm.as_of_ms(ingest_ts) / 1000, tz=tm.timezone.utc).isoformat())
     candles = decode_pages(wanted, stamp, source)
     low, high = tm.as_of_ms(start.isoformat()), tm.as_of_ms(end.isoformat())
@@ -148,10 +168,13 @@ def _add_keys(
 
 def refresh_hot(
     spark: SparkSession, hot: str, gold: str, as_of: datetime | str, hours: int = 48,
-    interval: str = "1m", exchange: str | None = None,
+    interval: str = "1m", exchange: str | None = None, read: HotReader = read_hot,
 ) -> None:
-    """Recent stream tables into gold. Final candles stay as they are."""
-    candles = clean.lookback(read_hot(spark, hot, "candle", as_of, hours), as_of, hours)
+    """Recent stream tables into gold. Final candles stay as they are.
+
+    `read` gives the current rows of a stream table; `external_reader` makes one for tables outside the catalog.
+    """
+    candles = clean.lookback(read(spark, hot, "candle", as_of, hours), as_of, hours)
     _add_keys(spark, gold, candles, candles, "open_time", as_of, exchange)
     facts = star.hot_kline_facts(
         candles, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_interval"),
@@ -159,7 +182,7 @@ def refresh_hot(
     tables.upsert(
         facts, FACT_KLINE, f"{gold}.fact_kline", update=star.HOT_KLINE_COLUMNS, keep_if="is_final")
 
-    indicators = clean.lookback(read_hot(spark, hot, "indicator", as_of, hours), as_of, hours)
+    indicators = clean.lookback(read(spark, hot, "indicator", as_of, hours), as_of, hours)
     _add_keys(spark, gold, indicators, indicators, "open_time", as_of, exchange)
     facts = star.indicator_facts(
         indicators, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_interval"), as_of, hours, interval)
@@ -168,11 +191,11 @@ def refresh_hot(
 
     # Symbols and pattern types come from all alerts, dates and facts from the recent ones. Only a type
     # that is new somewhere in the log makes it worth finding the current alerts of the whole history.
-    log = tables.read_table(spark, HOT["alert"], f"{hot}.alert")
+    log = tables.read_table(spark, HOT["alert"], f"{hot}.alert") if read is read_hot else read(spark, hot, "alert")
     patterns = _dim(spark, gold, "dim_pattern_type")
     if not star.new_patterns(patterns, log).isEmpty():
-        _add(spark, gold, "dim_pattern_type", star.new_patterns(patterns, read_hot(spark, hot, "alert")))
-    recent = clean.lookback(read_hot(spark, hot, "alert", as_of, hours), as_of, hours, "close_time")
+        _add(spark, gold, "dim_pattern_type", star.new_patterns(patterns, read(spark, hot, "alert")))
+    recent = clean.lookback(read(spark, hot, "alert", as_of, hours), as_of, hours, "close_time")
     _add_keys(spark, gold, log, recent, "close_time", as_of, exchange)
     rows = staged(star.alert_rows(
         recent, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_pattern_type"), as_of, hours))
@@ -183,12 +206,23 @@ def refresh_hot(
 
 def silver_to_gold(
     spark: SparkSession, silver: str, hot: str, gold: str, day: date | str, as_of: datetime | str,
-    interval: str = "1m", hours: int = 48, exchange: str | None = None,
+    interval: str = "1m", hours: int = 48, exchange: str | None = None, read: HotReader = read_hot,
 ) -> None:
     """Batch day into gold, then the recent stream rows on top."""
     ensure_static(spark, gold, [interval])
     load_batch(spark, silver, gold, day, interval, as_of, exchange)
-    refresh_hot(spark, hot, gold, as_of, hours, interval, exchange)
+    refresh_hot(spark, hot, gold, as_of, hours, interval, exchange, read)
+
+
+def publish_events(
+    spark: SparkSession, fmt: str, options: dict[str, str], out_fmt: str, out_options: dict[str, str], checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Raw exchange events of a source (`kafka`, or `text` files) onto the candle topic, as they come."""
+    events = spark.readStream.format(fmt).options(**options).load().select(F.col("value").cast("string").alias("value"))
+    return (
+        decode_events(events).writeStream.foreachBatch(lambda batch, _: publish(batch, out_fmt, out_options))
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "0 seconds"})).start())
 
 
 def run_day(

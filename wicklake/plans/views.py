@@ -70,6 +70,33 @@ def recent_alerts(
             "close_price", "created_at"))
 
 
+def create(spark: SparkSession, gold: str) -> None:
+    """The four queries as views of the catalog, beside the tables; the recent alerts move with the clock."""
+    symbol = f"JOIN {gold}.dim_symbol s USING (symbol_id)"
+    interval = f"JOIN {gold}.dim_interval i USING (interval_id)"
+    source = f"LEFT JOIN {gold}.dim_data_source d USING (data_source_id)"
+    spark.sql(f"""CREATE OR REPLACE VIEW {gold}.vw_kline_unified AS
+        SELECT symbol, interval_code, date_id AS trade_date, open_time, open_ts, close_time, close_ts, open_price, high_price, low_price,
+               close_price, volume, quote_asset_volume, number_of_trades, source_code AS data_source, is_final, updated_at
+        FROM {gold}.fact_kline {symbol} {interval} {source}""")
+    spark.sql(f"""CREATE OR REPLACE VIEW {gold}.vw_daily_market_summary AS
+        SELECT date_id AS trade_date, symbol, interval_code, open_price, high_price, low_price, close_price, total_volume, price_change,
+               price_change_pct, daily_range, number_of_candles, updated_at
+        FROM {gold}.fact_daily_market_summary {symbol} {interval}""")
+    latest = ", ".join(f"max_by({c}, open_time) AS {c}" for c in (
+        "open_ts", "close_price", "volume", "data_source_id", "is_final", "updated_at"))
+    spark.sql(f"""CREATE OR REPLACE VIEW {gold}.vw_latest_market_snapshot AS
+        SELECT symbol, interval_code, open_time, f.open_ts, f.close_price, volume, source_code AS data_source, is_final, sma7, sma25, rsi14,
+               macd, macd_signal, macd_hist, f.updated_at
+        FROM (SELECT symbol_id, interval_id, max(open_time) AS open_time, {latest} FROM {gold}.fact_kline GROUP BY symbol_id, interval_id) f
+        LEFT JOIN {gold}.fact_technical_indicator USING (symbol_id, interval_id, open_time) {symbol} {interval} {source}""")
+    spark.sql(f"""CREATE OR REPLACE VIEW {gold}.vw_pattern_alerts_recent AS
+        SELECT symbol, date_id AS trade_date, pattern_type, close_time, close_ts, close_price, a.created_at
+        FROM {gold}.fact_pattern_alert a {symbol} JOIN {gold}.dim_date USING (date_id)
+        JOIN {gold}.dim_pattern_type USING (pattern_type_id)
+        WHERE close_ts >= current_timestamp() - INTERVAL 24 HOURS AND date_id >= to_date(current_timestamp() - INTERVAL 24 HOURS)""")
+
+
 def register(spark: SparkSession, gold: str, as_of: datetime | str) -> None:
     """The four queries as temporary views over the tables of a gold namespace."""
     t = {name: spark.table(f"{gold}.{name}") for name in (

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from wicklake.functions import time as tm
 from wicklake.schemas import BRONZE
@@ -14,29 +15,25 @@ from wicklake.sources.tables import gathered
 _FILE_SCHEMA = BRONZE.ddl + ", year int, month int, day int"
 
 
-def _day_globs(root: str, interval: str, start: date, end: date) -> list[str]:
-    """One glob per month of the range, so only the folders of the range are listed."""
+def _days_glob(root: str, interval: str, start: date, end: date) -> str:
+    """One glob for the days of the range, so only their folders are listed, and once."""
     days: dict[tuple[int, int], list[str]] = {}
     current = start
     while current < end:
         days.setdefault((current.year, current.month), []).append(f"{current.day:02d}")
         current += timedelta(days=1)
-    return [
-        f"{root}/interval={interval}/symbol=*/year={y:04d}/month={m:02d}/day={{{','.join(found)}}}"
-        for (y, m), found in days.items()]
+    months = [f"year={y:04d}/month={m:02d}/day={{{','.join(found)}}}" for (y, m), found in days.items()]
+    return f"{root}/interval={interval}/symbol=*/{{{','.join(months)}}}"
 
 
-def _found(spark: SparkSession, globs: list[str]) -> list[str]:
-    """The globs that match something; Spark rejects a path without a match."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hits = []
-    for glob in globs:
-        path = jvm.org.apache.hadoop.fs.Path(glob)
-        matches = path.getFileSystem(conf).globStatus(path)
-        if matches is not None and len(matches):
-            hits.append(glob)
-    return hits
+def _load(reader: DataFrameReader, fmt: str, path: str) -> DataFrame | None:
+    """What lies at a path or glob; None if nothing does."""
+    try:
+        return reader.format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_bronze(
@@ -49,12 +46,12 @@ def read_bronze(
     """
     start = tm.parse_day(start)
     start, end = tm.check_range(start, end if end is not None else start + timedelta(days=1))
-    globs = _found(spark, _day_globs(root, interval, start, end))
-    if not globs:
+    reader = spark.read.schema(_FILE_SCHEMA).option("basePath", root)
+    files = _load(reader, "parquet", _days_glob(root, interval, start, end))
+    if files is None:
         if required:
             raise FileNotFoundError(f"no {interval} files from {start} to {end} in {root}")
         return BRONZE.empty(spark)
-    files = spark.read.schema(_FILE_SCHEMA).option("basePath", root).parquet(*globs)
     day = F.make_date("year", "month", "day")
     return files.where((F.col("interval") == interval) & tm.in_day_range(day, start, end)).select(*BRONZE.names)
 
@@ -68,17 +65,11 @@ def existing_partitions(
     With an interval and a day range only the folders of the range are listed.
     """
     keys = list(BRONZE.partition_by)
-    if interval is not None:
-        globs = _found(spark, _day_globs(root, interval, *tm.check_range(start, end)))
-    else:
-        globs = [root] if _found(spark, [f"{root}/interval=*"]) else []
+    where = root if interval is None else _days_glob(root, interval, *tm.check_range(start, end))
     kinds = "interval string, symbol string, year int, month int, day int"
     none = spark.createDataFrame([], kinds).select(*keys)
-    if not globs:
-        return none
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
-        .option("basePath", root).load(globs)
-    if not set(keys) <= set(files.columns):  # folders without files
+    files = _load(spark.read.option("pathGlobFilter", "*.parquet").option("basePath", root), "binaryFile", where)
+    if files is None or not set(keys) <= set(files.columns):  # no folders, or folders without files
         return none
     return files.select(
         F.col("interval").cast("string"), F.col("symbol").cast("string"),

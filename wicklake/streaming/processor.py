@@ -14,6 +14,10 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+# A backlog is emitted in frames of so many rows; the closes a frame needs are carried over.
+FRAME_ROWS = 10_000
+
+
 class Lengths(NamedTuple):
     """Frame lengths in candles, and how many earlier candles the values of the next one depend on."""
 
@@ -64,19 +68,20 @@ class IndicatorProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.past = handle.getValueState("past", "closes array<double>")
-        self.waiting = handle.getMapState("waiting", "open_time bigint", "close_price double")
+        self.waiting = handle.getListState("waiting", "open_time bigint, close_price double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         earliest = None
         for pdf in rows:
+            # Spark filters late rows by the previous batch's watermark, so look again.
+            pdf = pdf[pdf["open_time"] // 1000 * 1000 > watermark]
+            if pdf.empty:
+                continue
             closes = pdf["close_price"].astype("float64")
-            for open_time, close in zip(pdf["open_time"].tolist(), closes.tolist()):
-                # Spark filters late rows by the previous batch's watermark, so look again.
-                if _event_ms(open_time) <= watermark:
-                    continue
-                self.waiting.updateValue((open_time,), (None if np.isnan(close) else close,))
-                earliest = open_time if earliest is None else min(earliest, open_time)
+            times = pdf["open_time"].tolist()
+            self.waiting.appendList([(t, None if np.isnan(c) else c) for t, c in zip(times, closes.tolist())])
+            earliest = min(times) if earliest is None else min(earliest, *times)
         if earliest is not None:
             self._wake_after(_event_ms(earliest))
         return iter([])
@@ -91,16 +96,18 @@ class IndicatorProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        held = sorted((k[0], v[0]) for k, v in self.waiting.iterator())
+        # Of a candle that came more than once the last one counts.
+        held = sorted({open_time: close for open_time, close in self.waiting.get()}.items())
         ready = [item for item in held if _event_ms(item[0]) <= watermark]
-        for open_time, _ in ready:
-            self.waiting.removeKey((open_time,))
         if len(held) > len(ready):
+            self.waiting.put(held[len(ready):])
             due = _event_ms(held[len(ready)][0]) + 1
             if due not in list(self.handle.listTimers()):
                 self.handle.registerTimer(due)
-        if ready:
-            yield self._emit(key, ready)
+        else:
+            self.waiting.clear()
+        for first in range(0, len(ready), FRAME_ROWS):
+            yield self._emit(key, ready[first:first + FRAME_ROWS])
 
     def _emit(self, key, ready) -> pd.DataFrame:
         past = list(self.past.get()[0]) if self.past.exists() else []

@@ -99,23 +99,11 @@ def compact(spark: SparkSession, hot: str, name: str, day: date | str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def raw_and_alerts(hot: str, as_upsert: bool = False):
-    """`foreachBatch` function: one read of the micro-batch feeds two tables."""
+def writer(name: str, hot: str, as_upsert: bool = False):
+    """`foreachBatch` function for one table; alerts are found in the candles of the batch."""
     run = datetime.now(timezone.utc)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write_batch(batch, batch_id, "candle", hot, as_upsert, run)
-            write_batch(pattern_alerts(batch), batch_id, "alert", hot, as_upsert, run)
-        finally:
-            batch.unpersist()
-    return write
-
-
-def indicators(hot: str, as_upsert: bool = False):
-    run = datetime.now(timezone.utc)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, "indicator", hot, as_upsert, run)
+        rows = pattern_alerts(batch) if name == "alert" else batch
+        write_batch(rows, batch_id, name, hot, as_upsert, run)
     return write

@@ -11,16 +11,25 @@ from wicklake.streaming import sinks
 from wicklake.streaming.indicators import stream_indicators
 from wicklake.streaming.source import read_candle_stream
 
-# Fixed value: how often the tables are written.
-TRIGGER = "1 second"
+# How often each table is written. Alerts go out as soon as the batch before is done.
+TRIGGERS = {"candle": "1 second", "alert": "0 seconds", "indicator": "1 second"}
 
 
-def start_raw_and_alerts(stream: DataFrame, hot: str, checkpoint: str, trigger: dict, as_upsert: bool = False) -> StreamingQuery:
+def start_stateless(
+    stream: DataFrame, name: str, hot: str, checkpoint: str, trigger: dict, as_upsert: bool = False,
+) -> StreamingQuery:
+    """The candle or the alert table of a stream."""
     return (
-        stream.writeStream.foreachBatch(sinks.raw_and_alerts(hot, as_upsert))
+        stream.writeStream.foreachBatch(sinks.writer(name, hot, as_upsert))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def start_raw_and_alerts(
+    stream: DataFrame, hot: str, checkpoint: str, trigger: dict, as_upsert: bool = False,
+) -> list[StreamingQuery]:
+    return [start_stateless(stream, name, hot, f"{checkpoint}/{name}", trigger, as_upsert) for name in ("candle", "alert")]
+
+
 def start_indicators(
     stream: DataFrame, hot: str, checkpoint: str, trigger: dict, as_upsert: bool = False,
     state_partitions: int | None = None,
@@ -31,7 +40,7 @@ def start_indicators(
     with runtime_conf(spark, "spark.sql.shuffle.partitions", str(tasks)):
         return (
             stream_indicators(stream).writeStream.outputMode("append")
-            .foreachBatch(sinks.indicators(hot, as_upsert))
+            .foreachBatch(sinks.writer("indicator", hot, as_upsert))
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
@@ -40,19 +49,22 @@ def run_speed_layer(
     start: str = "earliest", trigger: dict | None = None, as_upsert: bool = False,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start the two stream queries.
+    """Start the stream queries: one per table on the same source, each with the trigger its readers need.
 
-    Candles and alerts need no state and share one; indicators keep state per symbol and run as a
-    second query on the same source. `trigger={"availableNow": True}` processes what is there and stops.
+    Candles and alerts need no state; indicators keep state per symbol. `trigger={"availableNow": True}` processes what is
+    there and stops.
     """
-    trigger = trigger or {"processingTime": TRIGGER}
+    def each(name: str) -> dict:
+        return trigger or {"processingTime": TRIGGERS[name]}
+
     tables.ensure_hot(spark, hot)
-    stateless = start_raw_and_alerts(
-        read_candle_stream(spark, fmt, options, start), hot, f"{checkpoints}/candles", trigger, as_upsert)
+    stateless = [
+        start_stateless(read_candle_stream(spark, fmt, options, start), name, hot, f"{checkpoints}/{name}", each(name), as_upsert)
+        for name in ("candle", "alert")]
     stateful = start_indicators(
-        read_candle_stream(spark, fmt, options, start), hot, f"{checkpoints}/indicators", trigger, as_upsert,
+        read_candle_stream(spark, fmt, options, start), hot, f"{checkpoints}/indicator", each("indicator"), as_upsert,
         state_partitions)
-    return [stateless, stateful]
+    return [*stateless, stateful]
 
 
 def drain(queries: list[StreamingQuery]) -> None:
