@@ -392,7 +392,8 @@ def _cut(anchor: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
 def _bounds(docs: DataFrame) -> tuple[int, list[float]]:
     """Number of batches, and the ids they are cut at: quantiles of doc_id, so that a batch has about BATCH_BYTES."""
     total = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("size")).first()
-    parallel = 3 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Anchors of a batch go to as many shards as there are batches, so more batches than tasks need only cost rows.
+    parallel = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     batches = max(1, min(total["rows"], max(parallel, -(-(total["size"] or 0) // BATCH_BYTES))))
     if batches == 1:
         return 1, []
