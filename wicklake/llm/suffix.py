@@ -15,7 +15,9 @@ from wicklake.llm.common import LAST_ID, text_batches, whole_buffers, words_at
 MATCH = 50
 # An anchor is the 16-byte word with the smallest hash among those inside a string of MATCH bytes.
 ANCHOR = 16
-BATCH_BYTES = 16 << 20
+# A task holds one batch or one shard, about twenty times its bytes with all arrays: for executors with 0.5 GB or more a core
+# outside the heap. More memory a core allows larger batches, and so fewer.
+BATCH_BYTES = 8 << 20
 # A new batch of an index shard has at least so many suffixes, if there are as many.
 UNIT = 1 << 16
 
@@ -24,6 +26,8 @@ _POSITION_BITS = 18
 _BUFFER = (1 << _POSITION_BITS) - 1
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _HASH_BYTES = 5
+# Running sums are kept over so many bytes at a time.
+_HASHED = 1 << 18
 
 
 @dataclass
@@ -108,11 +112,19 @@ def _byte_values() -> np.ndarray:
 
 def _contents(buffer: np.ndarray, found: Runs) -> np.ndarray:
     """A 64-bit hash of the bytes of each run: differences of running sums of byte values times powers."""
-    log2, power = int(len(buffer)).bit_length(), 0x5851F42D4C957F2D
-    sums = np.zeros(len(buffer) + 1, np.uint64)
-    np.cumsum(_byte_values()[buffer] * _powers(power, log2)[:len(buffer)], out=sums[1:])
-    body = (sums[found.first + found.n + MATCH - 1] - sums[found.first]) * _powers(pow(power, -1, 2**64), log2)[found.first]
-    return (body ^ (body >> np.uint64(32))) * _MIX[3] + found.anchor * _MIX[0] + found.n.astype(np.uint64)
+    out, power = np.empty(len(found.first), np.uint64), 0x5851F42D4C957F2D
+    stop = found.first + found.n + MATCH - 1
+    for begin in range(0, len(buffer), _HASHED):
+        low, high = np.searchsorted(found.first, (begin, begin + _HASHED))
+        if low == high:
+            continue
+        part = buffer[begin:stop[low:high].max()]
+        log2 = int(len(part)).bit_length()
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_byte_values()[part] * _powers(power, log2)[:len(part)], out=sums[1:])
+        first = found.first[low:high] - begin
+        out[low:high] = (sums[stop[low:high] - begin] - sums[first]) * _powers(pow(power, -1, 2**64), log2)[first]
+    return (out ^ (out >> np.uint64(32))) * _MIX[3] + found.anchor * _MIX[0] + found.n.astype(np.uint64)
 
 
 @dataclass
