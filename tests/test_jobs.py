@@ -240,6 +240,17 @@ def test_events_are_published_as_candles(spark, candles):
     assert sent.exceptAll(decode.decode_events(spark.read.text(raw))).isEmpty() and sent.count() > 3000
 
 
+def test_newest_candles_equal_the_whole_fact(spark, loaded):
+    _, gold, _ = loaded
+    t = {n: tables.read_table(spark, GOLD[n], f"{gold}.{n}") for n in GOLD}
+    rest = [t[n] for n in ("dim_symbol", "dim_interval", "dim_data_source", "fact_technical_indicator")]
+    kept, whole = (sorted(map(tuple, views.latest_snapshot(f, *rest).collect()), key=repr) for f in (t["latest_kline"], t["fact_kline"]))
+    assert kept == whole and len(whole) == 5
+    assert set(map(tuple, t["latest_kline"].collect())) <= set(map(tuple, t["fact_kline"].collect()))
+    plan = views.latest_snapshot(t["latest_kline"], *rest)._jdf.queryExecution().executedPlan().toString()
+    assert "fact_kline" not in plan
+
+
 def test_latest_snapshot_joins_by_series_and_time(spark, loaded):
     """Also an indicator whose date is not the day of its open time."""
     _, gold, _ = loaded

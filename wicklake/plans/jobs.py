@@ -14,9 +14,10 @@ from wicklake.functions.text import symbol_list
 from wicklake.operators import clean, summary
 from wicklake.operators.checks import duplicate_keys, missing_references, not_null_counts, require_empty
 from wicklake.operators.merge import absent_rows
+from wicklake.operators.rows import latest_by
 from wicklake.plans import star
 from wicklake.schemas import (
-    FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, HOT, SILVER,
+    FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, HOT, LATEST_KLINE, SILVER,
 )
 from wicklake.session import staged
 from wicklake.sources import tables
@@ -137,6 +138,18 @@ def _batch_symbols(spark: SparkSession, gold: str, names: DataFrame, as_of: date
         tables.swap(corrected, GOLD["dim_symbol"], f"{gold}.dim_symbol")
 
 
+def _refresh_latest(spark: SparkSession, gold: str, changed: DataFrame) -> None:
+    """Bring the newest candle per series up to date with the partitions of the fact that `changed` rows went to."""
+    fact = tables.touched(_dim(spark, gold, "fact_kline"), changed, FACT_KLINE.partition_by)
+    keys = list(LATEST_KLINE.key)
+    new = latest_by(fact, keys, "open_time").select(*LATEST_KLINE.names)
+    known = _dim(spark, gold, "latest_kline")
+    # Of one candle the fact has the newer version.
+    older = known.join(new.select(*keys, F.col("open_time").alias("_t")), keys, "left").where(
+        F.col("_t").isNull() | (F.col("open_time") > F.col("_t"))).select(*LATEST_KLINE.names)
+    tables.swap(latest_by(older.unionByName(new), keys, "open_time"), LATEST_KLINE, f"{gold}.latest_kline")
+
+
 def load_batch(
     spark: SparkSession, silver: str, gold: str, day: date | str, interval: str, as_of: datetime | str,
     exchange: str | None = None,
@@ -152,6 +165,7 @@ def load_batch(
     require_empty(missing_references(rows, "interval", intervals, "interval_code"), "intervals without a dimension row")
     facts = star.kline_facts(rows, symbols, intervals, _dim(spark, gold, "dim_data_source"), as_of)
     tables.upsert(facts, FACT_KLINE, f"{gold}.fact_kline")
+    _refresh_latest(spark, gold, facts)
     daily = star.daily_facts(rows, symbols, intervals, as_of)
     tables.upsert(daily, FACT_DAILY, f"{gold}.fact_daily_market_summary")
     return True
@@ -181,6 +195,7 @@ def refresh_hot(
         _dim(spark, gold, "dim_data_source"), as_of, hours, interval)
     tables.upsert(
         facts, FACT_KLINE, f"{gold}.fact_kline", update=star.HOT_KLINE_COLUMNS, keep_if="is_final")
+    _refresh_latest(spark, gold, facts)
 
     indicators = clean.lookback(read(spark, hot, "indicator", as_of, hours), as_of, hours)
     _add_keys(spark, gold, indicators, indicators, "open_time", as_of, exchange)

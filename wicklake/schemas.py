@@ -140,6 +140,12 @@ FACT_KLINE = Layout(
     sort_by=("symbol_id", "-open_time"),
 )
 
+# The newest candle of every series, kept beside the fact so that the snapshot need not read it.
+LATEST_KLINE = Layout(
+    FACT_KLINE.columns, key=("symbol_id", "interval_id"),
+    not_null=("symbol_id", "interval_id", "date_id", "open_time", "open_ts", "is_final", "updated_at"),
+)
+
 FACT_DAILY = Layout(
     _columns("""
         date_id date, symbol_id bigint, interval_id bigint, open_price double, high_price double,
@@ -180,6 +186,7 @@ GOLD = {
     "dim_data_source": DIM_DATA_SOURCE,
     "dim_pattern_type": DIM_PATTERN_TYPE,
     "fact_kline": FACT_KLINE,
+    "latest_kline": LATEST_KLINE,
     "fact_daily_market_summary": FACT_DAILY,
     "fact_technical_indicator": FACT_INDICATOR,
     "fact_pattern_alert": FACT_ALERT,

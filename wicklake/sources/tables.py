@@ -21,6 +21,8 @@ from wicklake.schemas import GOLD, HOT, SILVER, Layout
 from wicklake.session import runtime_conf, staged
 
 BROADCAST_PARTITIONS = 100_000
+# Providers whose tables take MERGE and are replaced in one step.
+ROW_LEVEL = ("iceberg", "delta", "hudi")
 SMALL_TASK = "64k"
 _LEAST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -102,6 +104,9 @@ def swap(df: DataFrame, layout: Layout, table: str) -> None:
     """
     spark = df.sparkSession
     facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if facts["Provider"].lower() in ROW_LEVEL:
+        staged(df.select(*layout.names)).writeTo(table).overwrite(F.lit(True))
+        return
     folder = f"{re.sub('-[0-9a-f]{32}$', '', facts['Location'].rstrip('/'))}-{uuid.uuid4().hex}"
     df.select(*layout.names).write.format(facts["Provider"]).save(folder)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
@@ -195,10 +200,6 @@ def insert_absent(source: DataFrame, layout: Layout, table: str) -> None:
     append(fresh, layout, table)
 
 
-# Providers whose tables take MERGE.
-ROW_LEVEL = ("iceberg", "delta", "hudi")
-
-
 def row_level(spark: SparkSession, table: str) -> bool:
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
     return found is not None and found["data_type"].lower() in ROW_LEVEL
