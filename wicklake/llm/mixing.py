@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wicklake.llm.common import WORD
+from wicklake.llm.common import WORD, staged
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -65,7 +65,7 @@ def copies(rows: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, m
     dealt = (rows.withColumn("source_key", F.col("source"))
              .withColumn("stratum", F.length(F.bin("size")))
              .withColumn("cell", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(cells).cast("long"))))
-    counted = dealt.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    counted = staged(dealt.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words")), "cells")
     sources = source_targets(counted.groupBy("source_key").agg(F.sum("words").alias("words")), weights, most_copies)
     earlier = Window.partitionBy("source_key").orderBy("stratum", "cell").rowsBetween(Window.unboundedPreceding, -1)
     offset = (F.col("place") * 40503 + seed) % 65536 / F.lit(65536.0)
@@ -90,7 +90,7 @@ def _slim(docs: DataFrame, *payload: Column) -> DataFrame:
 
 def mixture(docs: DataFrame, seed: int = 0) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of `docs` (doc_id, source, text, ...)."""
-    return (copies(_slim(docs), seed)
+    return (copies(staged(_slim(docs), "sizes"), seed)
             .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")))
 
 
