@@ -23,7 +23,7 @@ from wicklake.session import runtime_conf, staged
 BROADCAST_PARTITIONS = 100_000
 # Providers whose tables take MERGE and are replaced in one step.
 ROW_LEVEL = ("iceberg", "delta", "hudi")
-SMALL_TASK = "64k"
+SMALL_TASK = "1k"
 _LEAST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
