@@ -40,7 +40,7 @@ def test_pieces_equal_whole_texts(tokenizer):
 
 
 def test_forgetting_pieces(tokenizer, monkeypatch):
-    monkeypatch.setattr(tokens, "_MOST_PIECES", 5)
+    monkeypatch.setattr(tokens, "_MOST_PIECES", 5)  # more pieces are known for a batch only
     encoder = tokens.PieceEncoder(tokenizer_path())
     for text in ("one two three four", "five six seven eight one two", "one two nine"):
         assert list(encoder.encode([text])[0]) == tokenizer.encode(text, add_special_tokens=False).ids

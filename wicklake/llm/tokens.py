@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,9 @@ ROWS_PER_PART = 1 << 16
 LEAST_ROWS_PER_PART = 512
 LEVEL = 1
 
-# Pieces are remembered per Python worker up to this many; others are encoded again.
-_MOST_PIECES = 400_000
-_ENCODE_AT_ONCE = 1 << 20
+# The first so many pieces that a Python worker meets are remembered; others are known for a batch.
+_MOST_PIECES = 600_000
+_ENCODE_AT_ONCE = 1 << 16
 # White space of two or more that a space ends: only there may a space belong to what stands before it.
 _LOOSE = re.compile(r"\s ")
 
@@ -67,60 +68,59 @@ class PieceEncoder:
         cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="left") + 1 if pieces else np.zeros(0, np.int64)
         return ids, np.diff(cuts, prepend=0)
 
-    def _learn(self, plain: list[str], spaced: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """Pieces that begin with white space after their space are encoded one by one: run together with the piece
         before them they could be split otherwise."""
+        if not pieces:
+            return
+        plain = [p for p in pieces if p and not p[0].isspace()]
+        spaced = [p for p in pieces if not p or p[0].isspace()]
         lengths, pools = [self.lengths], [self.pool]
-        batch, size = [], 0
-        for i, piece in enumerate(plain):
-            self.index[piece] = len(self.index)
-            batch.append(" " + piece)
-            size += len(piece) + 1
-            if size >= _ENCODE_AT_ONCE or i == len(plain) - 1:
-                ids, n = self._encode_pieces(batch)
-                lengths.append(n)
-                pools.append(ids)
-                batch, size = [], 0
-        for piece, ids in zip(spaced, self._encode([" " + p for p in spaced])):
-            self.index[piece] = len(self.index)
+        for first in range(0, len(plain), _ENCODE_AT_ONCE):
+            ids, n = self._encode_pieces([" " + p for p in plain[first:first + _ENCODE_AT_ONCE]])
+            lengths.append(n)
+            pools.append(ids)
+        for ids in self._encode([" " + p for p in spaced]):
             lengths.append(np.array([len(ids)]))
             pools.append(ids)
+        start = len(self.lengths)
+        self.index.update(zip([*plain, *spaced], range(start, start + len(pieces))))
         self.lengths, self.pool = np.concatenate(lengths), np.concatenate(pools)
         self.at = np.cumsum(self.lengths) - self.lengths
 
-    def _forget(self) -> None:
-        self.index, self.lengths, self.at, self.pool = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as the tokenizer gives them for the whole text."""
         out: list[np.ndarray | None] = [None] * len(texts)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         whole = [i for i, t in enumerate(texts) if _LOOSE.search(t) or any(s in t for s in special)]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
         split = [i for i, x in enumerate(out) if x is None]
-        # The first piece has no space before it.
-        heads, tails = [], []
-        for i in split:
-            head, *tail = texts[i].split(" ")
-            heads.append(head)
-            tails.append(tail)
-        known = self.index
-        new = [p for p in dict.fromkeys(p for tail in tails for p in tail) if p not in known]
-        if len(known) + len(new) > _MOST_PIECES and known:
-            self._forget()
-            known = self.index
-            new = list(dict.fromkeys(p for tail in tails for p in tail))
-        self._learn([p for p in new if p and not p[0].isspace()], [p for p in new if not p or p[0].isspace()])
-        for i, first, tail in zip(split, self._encode(heads), tails):
-            at = np.fromiter(map(known.__getitem__, tail), np.int64, len(tail))
-            out[i] = np.concatenate([first, self._gather(at)])
+        # The first piece of a text has no space before it.
+        cut = [texts[i].split(" ") for i in split]
+        heads = self._encode([pieces[0] for pieces in cut])
+        known, distinct = self.index, set().union(*(islice(pieces, 1, None) for pieces in cut))
+        new = sorted(p for p in distinct if p not in known)
+        kept = max(0, min(len(new), _MOST_PIECES - len(known)))
+        self._learn(new[:kept])
+        size = len(self.lengths), len(self.pool)
+        self._learn(new[kept:])
+        # Each distinct piece is looked up among all known ones once, the rest in the small table of the batch.
+        here = dict(zip(distinct, map(known.__getitem__, distinct)))
+        for i, first, pieces in zip(split, heads, cut):
+            places = np.fromiter(map(here.__getitem__, islice(pieces, 1, None)), np.int64, len(pieces) - 1)
+            out[i] = np.concatenate([first, self._gather(places)])
+        for piece in new[kept:]:
+            del known[piece]
+        self.lengths, self.at, self.pool = self.lengths[:size[0]], self.at[:size[0]], self.pool[:size[1]]
         return out
 
-    def _gather(self, at: np.ndarray) -> np.ndarray:
-        n = self.lengths[at]
-        total = int(n.sum())
-        steps = np.arange(total) + np.repeat(self.at[at] - (np.cumsum(n) - n), n)
-        return self.pool[steps]
+    def _gather(self, places: np.ndarray) -> np.ndarray:
+        """The ids of known pieces, run together."""
+        n = self.lengths[places]
+        stops = np.cumsum(n)
+        total = int(stops[-1]) if len(stops) else 0
+        return self.pool[np.arange(total) + np.repeat(self.at[places] - (stops - n), n)]
 
 
 def encoder(path: str) -> PieceEncoder:
