@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wicklake.llm.common import text_batches
+from wicklake.llm.common import staged, text_batches
 
 # Fixed patterns of the contract. The keyword is in either case, ASCII only.
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -227,8 +227,8 @@ def learn(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND, sample_docs: int = S
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found]), pa.array([w for _, w in found]), pa.array(list(found.values()), pa.int64())],
                                              ["kind", "word", "n"])
 
-    counted = (sample.select("text").mapInArrow(labelled, "kind string, word string, n long")
-               .groupBy("kind", "word").agg(F.sum("n").alias("n")))
+    counted = staged(sample.select("text").mapInArrow(labelled, "kind string, word string, n long")
+                     .groupBy("kind", "word").agg(F.sum("n").alias("n")), "credentials")
     words: dict[str, Counter] = {k: Counter() for k in (*KINDS, "plain")}
     for kind in words:
         for row in counted.filter(F.col("kind") == kind).orderBy(F.xxhash64("word"), "word").limit(per_kind).collect():
