@@ -71,3 +71,5 @@ def test_empty_and_wordless(spark):
 def test_no_python_on_the_main_path(spark, small):
     plan = mixing.mix(table(spark, small, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+    carried = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("source_key" in line and "stratum" in line for line in carried) <= 2

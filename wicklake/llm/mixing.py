@@ -12,6 +12,8 @@ from wicklake.llm.common import WORD, staged
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
+# Sources are named with "=" before them; rows without one go by this.
+NULL_SOURCE = "-"
 
 
 def text_size(text: Column) -> Column:
@@ -32,7 +34,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_co
     is left over is shared again by weight. In the order of size per weight the sources that stop come first, and
     the level (words per unit of weight) of the rest is the largest of the levels reached on the way.
     """
-    by_place = Window.orderBy(F.col("source_key").isNull(), "source_key")
+    by_place = Window.orderBy(F.col("source_key") == NULL_SOURCE, "source_key")
     everything = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = (Window.orderBy(F.col("words") / F.col("weight"), "place")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -62,7 +64,8 @@ def copies(rows: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, m
     """
     cells = _cells(rows.count())
     cell = ["source_key", "stratum", "cell"]
-    dealt = (rows.withColumn("source_key", F.col("source"))
+    # Never null, so that the join below finds rows where the window has put them and moves no text again.
+    dealt = (rows.withColumn("source_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(NULL_SOURCE)))
              .withColumn("stratum", F.length(F.bin("size")))
              .withColumn("cell", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(cells).cast("long"))))
     counted = staged(dealt.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words")), "cells")
@@ -70,14 +73,14 @@ def copies(rows: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, m
     earlier = Window.partitionBy("source_key").orderBy("stratum", "cell").rowsBetween(Window.unboundedPreceding, -1)
     offset = (F.col("place") * 40503 + seed) % 65536 / F.lit(65536.0)
     starts = (counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("c")
-              .join(sources.alias("s"), F.expr("c.source_key <=> s.source_key"))
+              .join(sources.alias("s"), F.expr("c.source_key = s.source_key"))
               .select("c.source_key", "stratum", "cell", "before", "source_size", "target", offset.alias("offset")))
     within = Window.partitionBy(*cell).orderBy("size", F.coalesce("doc_id", F.lit(0)), "tie")
     rank = F.col("before") + F.col("rank")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     crossed = F.floor(rank * F.col("each") + F.col("offset")) - F.floor((rank - 1) * F.col("each") + F.col("offset"))
     return (dealt.withColumn("rank", F.row_number().over(within)).alias("d")
-            .join(starts.alias("t"), F.expr("d.source_key <=> t.source_key AND d.stratum = t.stratum AND d.cell = t.cell"))
+            .join(starts.alias("t"), F.expr("d.source_key = t.source_key AND d.stratum = t.stratum AND d.cell = t.cell"))
             .select("d.*", "t.before", "t.source_size", "t.target", "t.offset")
             .withColumn("each", each).withColumn("copies", F.least(crossed, F.lit(most_copies)))
             .drop("source_key", "stratum", "cell", "rank", "before", "offset", "each"))
