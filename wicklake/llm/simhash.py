@@ -93,7 +93,9 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     without listing all its pairs; each pair is then verified by its differing bits.
     """
     far, near = -(-radius // 2), radius // 2
-    variants = prints.select("fingerprint", F.explode(_ball(F.col("fingerprint"), far)).alias("v")).select("fingerprint", "v.variant", "v.off")
+    # Spread first: every row becomes a whole ball.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = prints.repartition(tasks, "fingerprint").select("fingerprint", F.explode(_ball(F.col("fingerprint"), far)).alias("v")).select("fingerprint", "v.variant", "v.off")
     group = Window.partitionBy("variant")
     met = variants.withColumn("hub", F.min(F.when(F.col("off") <= near, F.col("fingerprint"))).over(group))
     pairs = met.filter(F.col("hub") != F.col("fingerprint")).select(
