@@ -75,6 +75,16 @@ def test_odd_rows(spark):
     assert simhash.keep_one(odd_docs(spark).filter("doc_id = 6")).count() == 1
 
 
+def test_groups_without_an_id_of_their_own_keep_a_row_each(spark):
+    rng = random.Random(11)
+    a, b, c, d, e, f = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6))
+    # Unrelated texts without an id, and under one id; copies of those and of a text that has an id.
+    rows = [(None, a), (None, a.upper()), (None, b), (7, c), (7, d), (None, d), (9, e), (None, e.upper()), (8, f), (8, f)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id or 0), r.text.lower()) for r in kept) == sorted([(0, a), (0, b), (7, c), (7, d), (9, e), (8, f)])
+    assert (9, e) in set(map(tuple, kept))
+
+
 def test_no_rows(spark):
     assert simhash.groups(no_docs(spark)).collect() == []
     assert simhash.keep_one(no_docs(spark)).collect() == []

@@ -57,16 +57,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(sum(1 << b for b in range(BITS) if 2 * ones[b] > n))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint as signed long) of every row of `docs` (doc_id, text, ...)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keys: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fingerprint as signed long) of every row of `docs` (doc_id, text, ...), or other keys of type long than doc_id."""
     text_batches(docs.sparkSession)
+    keys = keys or {"doc_id": F.col("doc_id").cast("long")}
+    names = [*keys, "fingerprint"]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in names[:-1]), pa.array(prints.view(np.int64))], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, "doc_id long, fingerprint long")
+    return docs.select(*(c.alias(k) for k, c in keys.items()), "text").mapInArrow(of, ", ".join(f"{n} long" for n in names))
 
 
 def _ball(print_: Column, radius: int) -> Column:
@@ -103,6 +105,13 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def _rooted(prints: DataFrame, least: Column, radius: int) -> DataFrame:
+    """(fingerprint, least, component) of each fingerprint: the smallest `least` of its rows, and the fingerprint its group is named by."""
+    nodes = staged(prints.groupBy("fingerprint").agg(F.min(least).alias("least")), "nodes")
+    parts = connected_components(links(nodes.select("fingerprint"), radius)).select(F.col("node").alias("fingerprint"), "component")
+    return nodes.join(parts, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+
+
 def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row: the smallest doc_id that links lead to, itself included.
 
@@ -112,19 +121,22 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Dat
     besides doc_id and text are not read. No rows give no rows.
     """
     prints = staged(fingerprints(docs, shingle), "fingerprints")
-    nodes = staged(prints.groupBy("fingerprint").agg(F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("least")), "nodes")
-    parts = connected_components(links(nodes.select("fingerprint"), radius)).select(F.col("node").alias("fingerprint"), "component")
-    rooted = nodes.join(parts, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    rooted = _rooted(prints, F.coalesce("doc_id", F.lit(LAST_ID)), radius)
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "component").select("fingerprint", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """`docs` with one row of each group: that with the smallest doc_id, the first by text if rows share the id."""
-    kept = groups(docs, shingle, radius).select(F.coalesce("component_id", F.lit(LAST_ID)).alias("keep_id")).distinct()
-    held = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("keep_id"),
-                       F.xxhash64("text").alias("tie"))
-    first = Window.partitionBy("keep_id").orderBy("tie")
-    return (held.join(kept, "keep_id", "left_semi").withColumn("nth", F.row_number().over(first))
+    """`docs` with one row of each group: that with the smallest doc_id, the first by hash of the text if rows share the id.
+
+    Groups are told apart by their fingerprints, not by their smallest id: rows of different groups that share an id, or have
+    none, stay each. A row is found again by its id and 128 bits of hash of its text; rows that agree in both are copies.
+    """
+    keys = {"keep_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "tie": F.xxhash64("text"), "tie2": F.xxhash64(F.lit(1), "text")}
+    prints = staged(fingerprints(docs, shingle, keys), "fingerprints")
+    kept = _rooted(prints, F.struct(*keys), radius).groupBy("component").agg(F.min("least").alias("least")).select("least.*")
+    held = docs.select(F.struct("*").alias("row"), *(c.alias(k) for k, c in keys.items()))
+    first = Window.partitionBy(*keys).orderBy(F.col("row.doc_id").asc_nulls_last())
+    return (held.join(kept, [*keys], "left_semi").withColumn("nth", F.row_number().over(first))
             .filter("nth = 1").select("row.*"))
