@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wicklake.llm import decontaminate, html, language, mixing, secrets, simhash, suffix, tokens, toxicity, vectors
+from wicklake.llm import decontaminate, html, language, mixing, runs, secrets, simhash, suffix, tokens, toxicity, vectors
 from wicklake.llm.common import table
 
 
@@ -71,6 +71,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.with_periodic_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = found.withColumns({"longest": longest, "listed": F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))})
+    length = -F.col("longest.shorter")
+    return listed.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), length.alias("length"),
+        F.col("longest.period").alias("period"), F.floor(1000 * length / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_decontaminate": op2_decontaminate,
@@ -82,4 +94,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_planes": op8_token_planes,
     "op9_embedding_links": op9_embedding_links,
     "op10_language": op10_language,
+    "op11_periodic_runs": op11_periodic_runs,
 }
