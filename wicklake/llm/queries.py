@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wicklake.llm import decontaminate, html, language, mixing, runs, secrets, simhash, suffix, tokens, toxicity, vectors
+from wicklake.llm import decontaminate, html, language, mixing, runs, secrets, simhash, suffix, tokens, toxicity, variants, vectors
 from wicklake.llm.common import table
 
 
@@ -83,6 +83,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"), slips=31)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_decontaminate": op2_decontaminate,
@@ -95,4 +99,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_links": op9_embedding_links,
     "op10_language": op10_language,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }
