@@ -43,7 +43,7 @@ def run_indicators(spark, folder, hot, state, per_trigger=1):
 
 def run_raw(spark, folder, hot, state, as_upsert=False, per_trigger=1):
     stream = read_candle_stream(spark, "text", {"path": folder, "maxFilesPerTrigger": str(per_trigger)})
-    speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, state, NOW, as_upsert))
+    speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, state, NOW, as_upsert)])
 
 
 def test_late_rows_are_dropped_by_the_current_watermark(spark):
@@ -179,3 +179,16 @@ def test_lookback_reads_only_its_days(spark, small):
 def test_a_file_stream_cannot_start_late(spark):
     with pytest.raises(ValueError):
         read_candle_stream(spark, "text", {"path": fresh_dir(spark, "in")}, start="latest")
+
+
+def test_a_batch_is_read_once_for_both_tables(spark):
+    folder, hot = fresh_dir(spark, "in"), hot_namespace(spark)
+    for number in range(3):
+        land(folder, number, [candle("A", 1_000_000 + (40 * number + i) * 60_000, 100.5 if i % 2 else 109.0) for i in range(40)])
+    stream = read_candle_stream(spark, "text", {"path": folder, "maxFilesPerTrigger": "1"})
+    query = speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)
+    speed_layer.drain([query])
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [40, 40, 40]
+    assert sinks.read_hot(spark, hot, "candle").count() == 120
+    assert sinks.read_hot(spark, hot, "alert").count() == 60
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

@@ -390,6 +390,7 @@ ORACLES["stream_restart_newest"] = ORACLES["stream_raw_upsert"]
 ORACLES["stream_pattern_alerts"] = ORACLES["pattern_alerts"]
 ORACLES["stream_indicators"] = ORACLES["technical_indicators"]
 ORACLES["stream_late_drop"] = ORACLES["technical_indicators"]
+ORACLES["stream_warm_start"] = f"SELECT * FROM ({ORACLES['technical_indicators']}) WHERE open_time >= {SOURCE_START}"
 
 ORACLES["stream_replay_idempotent"] = INDICATORS + "," + GEOMETRY + """
 SELECT 'candle' AS kind, symbol, open_time AS time, round(close_price, 6) AS close_price FROM candles

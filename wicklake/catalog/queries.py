@@ -19,6 +19,7 @@ from wicklake.schemas import (
 from wicklake.session import configure, fresh_dir, staged
 from wicklake.sources import bronze as bronze_files, decode, export, tables
 from wicklake.streaming import sinks, speed_layer
+from wicklake.streaming.indicators import recent_closes
 from wicklake.streaming.source import read_candle_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -558,7 +559,7 @@ def stream_raw_upsert(spark, sf):
     tables.ensure_hot(spark, hot)
     for attempt in range(2):
         stream = read_candle_stream(spark, "text", {"path": folder})
-        speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, state, NOW))
+        speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, state, NOW)])
         if attempt == 0:
             scratch.land_json(inputs.source(rows), folder)
     return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
@@ -577,7 +578,7 @@ def stream_restart_newest(spark, sf):
     scratch.land_json(inputs.source(rows), second)
     for folder, options in ((first, {"maxFilesPerTrigger": "1"}), (second, {})):
         stream = read_candle_stream(spark, "text", {"path": folder, **options})
-        speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW))
+        speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)])
     sinks.compact(spark, hot, "candle", DAY)
     return sinks.read_hot(spark, hot, "candle").select(*STREAM_CANDLE.names)
 
@@ -588,14 +589,14 @@ def stream_pattern_alerts(spark, sf):
     folder, hot = _landed(spark, rows), scratch.namespace(spark, "hot")
     tables.ensure_hot(spark, hot)
     stream = read_candle_stream(spark, "text", {"path": folder})
-    speed_layer.drain(speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW))
+    speed_layer.drain([speed_layer.start_raw_and_alerts(stream, hot, fresh_dir(spark, "state"), NOW)])
     return sinks.read_hot(spark, hot, "alert")
 
 
-def _run_indicators(spark: SparkSession, folder: str, hot: str, checkpoints: str) -> None:
+def _run_indicators(spark: SparkSession, folder: str, hot: str, checkpoints: str, history: DataFrame | None = None) -> None:
     stream = read_candle_stream(spark, "text", {"path": folder})
     speed_layer.drain([speed_layer.start_indicators(
-        stream, hot, checkpoints, NOW, state_partitions=spark.sparkContext.defaultParallelism)])
+        stream, hot, checkpoints, NOW, state_partitions=spark.sparkContext.defaultParallelism, history=history)])
 
 
 @query
@@ -608,6 +609,21 @@ def stream_indicators(spark, sf):
     return _indicator_output(sinks.read_hot(spark, hot, "indicator"))
 
 
+@query
+def stream_warm_start(spark, sf):
+    """A stream of the newer candles and some before them goes on from the older ones, which are in silver: its values are the
+    end of those over all candles."""
+    rows = inputs.candles(spark, sf)
+    silver = scratch.filled(spark, SILVER, rows.where(F.col("open_time") < inputs.SOURCE_START_MS), "kline")
+    history = recent_closes(indicators.closed_candles(clean.of_interval(spark.table(silver), "1h")))
+    late = inputs.stream_rows(rows.where(F.col("open_time") >= inputs.SOURCE_START_MS - 5 * tm.HOUR_MS))
+    folder, hot = _landed(spark, late), scratch.namespace(spark, "hot")
+    tables.ensure_hot(spark, hot)
+    scratch.land_json(scratch.sentinel(late), folder)
+    _run_indicators(spark, folder, hot, fresh_dir(spark, "state"), history)
+    return _indicator_output(sinks.read_hot(spark, hot, "indicator"))
+
+
 @query
 def stream_late_drop(spark, sf):
     """After the older candles were emitted, altered copies of them arrive too late to count."""

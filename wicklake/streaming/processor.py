@@ -16,6 +16,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # A backlog is emitted in frames of so many rows; the closes a frame needs are carried over.
 FRAME_ROWS = 10_000
+# Candles wait in buckets of so much open time: 60 candles of a minute, which a trigger that adds one to them writes anew.
+BUCKET_MS = 3_600_000
 
 
 class Lengths(NamedTuple):
@@ -60,30 +62,52 @@ def _event_ms(open_time: int) -> int:
 
 
 class IndicatorProcessor(StatefulProcessor):
-    """Waits until the watermark passes a candle, then emits candles in time order."""
+    """Waits until the watermark passes a candle, then emits candles in time order.
 
-    def __init__(self, lengths: Lengths) -> None:
-        self.lengths = tuple(lengths)
+    Candles wait in buckets of BUCKET_MS of open time, so a timer reads the buckets it can emit from and leaves the rest of
+    a backlog unread. `past` holds the closes that the next values depend on and the open time of the last of them; a symbol
+    may start with those of its history.
+    """
+
+    def __init__(self, lengths: Lengths, bucket_ms: int = BUCKET_MS) -> None:
+        self.lengths, self.bucket_ms = tuple(lengths), bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getValueState("past", "closes array<double>")
-        self.waiting = handle.getListState("waiting", "open_time bigint, close_price double")
+        self.past = handle.getValueState("past", "closes array<double>, last bigint")
+        self.waiting = handle.getMapState("waiting", "bucket bigint", "open_times array<bigint>, closes array<double>")
+        self.buckets = handle.getValueState("buckets", "numbers array<bigint>")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        closes, last = initialState["closes"].iloc[0], initialState["last"].iloc[0]
+        self.past.update(([None if c is None or np.isnan(c) else float(c) for c in closes], int(last)))
+
+    def _numbers(self) -> list[int]:
+        return list(self.buckets.get()[0]) if self.buckets.exists() else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        earliest = None
+        after = timerValues.getCurrentWatermarkInMs()
+        last = self.past.get()[1] if self.past.exists() else -1
+        new: dict[int, tuple[list, list]] = {}
         for pdf in rows:
             # Spark filters late rows by the previous batch's watermark, so look again.
-            pdf = pdf[pdf["open_time"] // 1000 * 1000 > watermark]
-            if pdf.empty:
-                continue
-            closes = pdf["close_price"].astype("float64")
-            times = pdf["open_time"].tolist()
-            self.waiting.appendList([(t, None if np.isnan(c) else c) for t, c in zip(times, closes.tolist())])
-            earliest = min(times) if earliest is None else min(earliest, *times)
-        if earliest is not None:
-            self._wake_after(_event_ms(earliest))
+            pdf = pdf[(pdf["open_time"] // 1000 * 1000 > after) & (pdf["open_time"] > last)]
+            for bucket, part in pdf.groupby(pdf["open_time"] // self.bucket_ms, sort=False):
+                times, closes = new.setdefault(int(bucket), ([], []))
+                times += part["open_time"].tolist()
+                closes += [None if np.isnan(c) else c for c in part["close_price"].astype("float64").tolist()]
+        if not new:
+            return iter([])
+        numbers = self._numbers()
+        known = set(numbers)
+        for bucket, (times, closes) in new.items():
+            if bucket in known:
+                held_times, held_closes = self.waiting.getValue((bucket,))
+                times, closes = [*held_times, *times], [*held_closes, *closes]
+            self.waiting.updateValue((bucket,), (times, closes))
+        if not known.issuperset(new):
+            self.buckets.update((sorted(known.union(new)),))
+        self._wake_after(_event_ms(min(min(times) for times, _ in new.values())))
         return iter([])
 
     def _wake_after(self, event_ms: int) -> None:
@@ -96,18 +120,34 @@ class IndicatorProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        # Of a candle that came more than once the last one counts.
-        held = sorted({open_time: close for open_time, close in self.waiting.get()}.items())
-        ready = [item for item in held if _event_ms(item[0]) <= watermark]
-        if len(held) > len(ready):
-            self.waiting.put(held[len(ready):])
-            due = _event_ms(held[len(ready)][0]) + 1
+        numbers, ready, done = self._numbers(), [], 0
+        left: dict[int, float | None] = {}
+        for bucket in numbers:
+            if _event_ms(bucket * self.bucket_ms) > watermark:
+                break
+            # Of a candle that came more than once the last one counts.
+            held = dict(zip(*self.waiting.getValue((bucket,))))
+            ready += sorted((t, c) for t, c in held.items() if _event_ms(t) <= watermark)
+            left = {t: c for t, c in held.items() if _event_ms(t) > watermark}
+            if left:
+                self.waiting.updateValue((bucket,), (list(left), list(left.values())))
+                break
+            self.waiting.removeKey((bucket,))
+            done += 1
+            while len(ready) >= FRAME_ROWS:
+                yield self._emit(key, ready[:FRAME_ROWS])
+                ready = ready[FRAME_ROWS:]
+        for first in range(0, len(ready), FRAME_ROWS):
+            yield self._emit(key, ready[first:first + FRAME_ROWS])
+        if done < len(numbers):
+            if done:
+                self.buckets.update((numbers[done:],))
+            # Of a bucket that is not read yet only the start is known; a timer there finds what it holds.
+            due = _event_ms(min(left) if left else numbers[done] * self.bucket_ms) + 1
             if due not in list(self.handle.listTimers()):
                 self.handle.registerTimer(due)
         else:
-            self.waiting.clear()
-        for first in range(0, len(ready), FRAME_ROWS):
-            yield self._emit(key, ready[first:first + FRAME_ROWS])
+            self.buckets.clear()
 
     def _emit(self, key, ready) -> pd.DataFrame:
         past = list(self.past.get()[0]) if self.past.exists() else []
@@ -115,7 +155,7 @@ class IndicatorProcessor(StatefulProcessor):
         values = indicator_values(closes, Lengths(*self.lengths))
         n = len(ready)
         kept = [None if np.isnan(c) else float(c) for c in closes[-Lengths(*self.lengths).history:]]
-        self.past.update((kept,))
+        self.past.update((kept, ready[-1][0]))
         out = pd.DataFrame({
             "symbol": [key[0]] * n, "open_time": [t for t, _ in ready], "close_price": closes[-n:],
             **{name: column[-n:] for name, column in values.items()}})

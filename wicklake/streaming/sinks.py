@@ -7,6 +7,7 @@ merges into the table instead.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -99,11 +100,21 @@ def compact(spark: SparkSession, hot: str, name: str, day: date | str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def writer(name: str, hot: str, as_upsert: bool = False):
-    """`foreachBatch` function for one table; alerts are found in the candles of the batch."""
+def writer(names: Sequence[str], hot: str, as_upsert: bool = False):
+    """`foreachBatch` function that writes one micro-batch to several tables; alerts are found in its candles.
+
+    The batch is held while it is written, so the source is read and parsed once for all tables. What an executor takes along
+    when it is lost is read from the source again, whose part of a batch is fixed.
+    """
     run = datetime.now(timezone.utc)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = pattern_alerts(batch) if name == "alert" else batch
-        write_batch(rows, batch_id, name, hot, as_upsert, run)
+        held = batch.persist() if len(names) > 1 else batch
+        try:
+            for name in names:
+                rows = pattern_alerts(held) if name == "alert" else held
+                write_batch(rows, batch_id, name, hot, as_upsert, run)
+        finally:
+            if len(names) > 1:
+                held.unpersist()
     return write
