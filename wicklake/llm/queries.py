@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wicklake.llm import decontaminate, html, language, mixing, runs, secrets, simhash, suffix, tokens, toxicity, variants, vectors
+from wicklake.llm import decontaminate, html, language, maxent, mixing, runs, secrets, simhash, suffix, tokens, toxicity, variants, vectors
 from wicklake.llm.common import table
 
 
@@ -87,6 +87,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(table(spark, sf_dir, "documents"), slips=31)
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_decontaminate": op2_decontaminate,
@@ -100,4 +104,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_language_model": op13_language_model,
 }
