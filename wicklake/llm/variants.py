@@ -22,7 +22,7 @@ RATIO = 10
 # Filters of so many bytes are broadcast at once; a vocabulary that needs more is probed in several passes.
 FILTER_BYTES = 64 << 20
 # A chunk of a filter, which one task builds, has so many blocks of 64 bits.
-CHUNK_BLOCKS = 1 << 15
+CHUNK_BLOCKS = 1 << 12
 # From so many letters on a word has more edits than a filter of two bytes a word can hold back.
 LONG = 32
 
