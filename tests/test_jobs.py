@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wicklake.catalog import inputs, tables as scratch
-from wicklake.operators.indicators import closed_candles, technical_indicators
-from wicklake.operators import summary
+from wicklake.operators.indicators import closed_candles, newest_indicators, technical_indicators
+from wicklake.operators import patterns, summary
 from wicklake.operators.checks import duplicate_keys
 from wicklake.plans import jobs, views
 from wicklake.schemas import BRONZE, GOLD, SILVER
@@ -251,6 +251,81 @@ def test_newest_candles_equal_the_whole_fact(spark, loaded):
     assert "fact_kline" not in plan
 
 
+def test_newest_indicators_equal_the_whole_fact(spark, loaded):
+    _, gold, _ = loaded
+    t = {n: tables.read_table(spark, GOLD[n], f"{gold}.{n}") for n in GOLD}
+    dims = [t[n] for n in ("dim_symbol", "dim_interval", "dim_data_source")]
+    kept, whole = (views.latest_snapshot(t["latest_kline"], *dims, t[n]) for n in ("latest_indicator", "fact_technical_indicator"))
+    rows = sorted(map(tuple, kept.collect()), key=repr)
+    assert rows == sorted(map(tuple, whole.collect()), key=repr) and len(rows) == 5
+    assert 0 < kept.where("sma25 is not null").count() == t["latest_indicator"].count()
+    assert "fact_" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_newest_indicators_move_with_the_candles(spark, loaded, monkeypatch):
+    """Only the days of the newest candles are read; a series without a change keeps its row."""
+    silver, _, hot = loaded
+    gold = scratch.namespace(spark, "gold")
+    for day, as_of in ((DAY, "2024-01-16T12:00:00"), ("2024-01-16", "2024-01-17T12:00:00")):
+        jobs.silver_to_gold(spark, silver, hot, gold, day, as_of, "1h", 24, "exchange")
+    read = []
+    real = tables.touched
+    monkeypatch.setattr(tables, "touched", lambda *a: read.append(a) or real(*a))
+    one = tables.read_table(spark, GOLD["fact_kline"], f"{gold}.fact_kline").limit(1)
+    before = sorted(map(tuple, tables.read_table(spark, GOLD["latest_indicator"], f"{gold}.latest_indicator").collect()), key=repr)
+    jobs._refresh_latest_indicators(spark, gold, one)
+    assert sorted(map(tuple, tables.read_table(spark, GOLD["latest_indicator"], f"{gold}.latest_indicator").collect()), key=repr) == before
+    (_, moved, parts), = read
+    assert parts == ("date_id",) and moved.count() == 1
+
+
+def test_newest_indicators_operator(spark, candles):
+    closed = closed_candles(candles)
+    last = closed.groupBy("symbol", "interval").agg(F.max("open_time").alias("open_time"))
+    want = technical_indicators(closed).join(last, ["symbol", "interval", "open_time"], "left_semi")
+    assert sorted(map(tuple, newest_indicators(closed).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_incremental_load_equals_a_full_refresh(spark, loaded, candles):
+    """Three loads of what is new, with corrections, a replay and a compacted day, and one refresh of everything."""
+    silver, _, _ = loaded
+    hot = scratch.namespace(spark, "hot")
+    tables.ensure_hot(spark, hot)
+    new, full, state = scratch.namespace(spark, "gold"), scratch.namespace(spark, "gold"), fresh_dir(spark, "state")
+    stream = inputs.stream_rows(candles)
+    values = technical_indicators(closed_candles(candles)).drop("interval")
+    as_of, hours = "2024-01-31T00:00:00", 17 * 24
+
+    def write(batch_id, rows):
+        sinks.write_batch(rows, batch_id, "candle", hot)
+        sinks.write_batch(patterns.pattern_alerts(rows), batch_id, "alert", hot)
+        times = rows.select("symbol", "open_time")
+        sinks.write_batch(values.join(times, ["symbol", "open_time"], "left_semi"), batch_id, "indicator", hot)
+
+    jobs.ensure_static(spark, new, ["1h"])
+    jobs.load_batch(spark, silver, new, DAY, "1h", as_of)
+    first = stream.where("open_time < 1705708800000")
+    write(0, first)
+    read = [jobs.load_new_hot(spark, hot, new, state, as_of, hours, "1h")]
+    write(1, stream.where("open_time >= 1705276800000").withColumn("close_price", F.col("close_price") + 2))
+    sinks.compact(spark, hot, "candle", "2024-01-17")
+    read.append(jobs.load_new_hot(spark, hot, new, state, as_of, hours, "1h", max_files=3))
+    write(0, first)
+    read.append(jobs.load_new_hot(spark, hot, new, state, as_of, hours, "1h"))
+    assert jobs.load_new_hot(spark, hot, new, state, as_of, hours, "1h") == {"candle": 0, "indicator": 0, "alert": 0}
+    assert all(n > 0 for r in read for n in r.values()) and read[0]["candle"] == first.count() == read[2]["candle"]
+
+    jobs.ensure_static(spark, full, ["1h"])
+    jobs.load_batch(spark, silver, full, DAY, "1h", as_of)
+    jobs.refresh_hot(spark, hot, full, as_of, hours, "1h")
+    for name in ("fact_kline", "latest_kline", "fact_technical_indicator", "latest_indicator"):
+        a, b = (sorted(map(tuple, tables.read_table(spark, GOLD[name], f"{g}.{name}").drop("updated_at").collect()), key=repr) for g in (new, full))
+        assert a == b != [], name
+    a, b = ({(r.symbol_id, r.close_time) for r in tables.read_table(spark, GOLD["fact_pattern_alert"], f"{g}.fact_pattern_alert").collect()}
+            for g in (new, full))
+    assert a >= b != set()
+
+
 def test_latest_snapshot_joins_by_series_and_time(spark, loaded):
     """Also an indicator whose date is not the day of its open time."""
     _, gold, _ = loaded

@@ -143,6 +143,28 @@ def test_compaction_keeps_what_arrives_meanwhile(spark, small, monkeypatch):
     assert tables.read_table(spark, HOT["candle"], f"{hot}.candle").where("trade_date = date'2024-01-15'").count() == 2 * late.count()
 
 
+def test_compaction_of_many_files(spark, small, monkeypatch):
+    """Names come to the driver a few at a time, and the newest entries stay."""
+    monkeypatch.setattr(sinks, "DELETED_AT_ONCE", 7)
+    hot = hot_namespace(spark)
+    rows = inputs.stream_rows(inputs.candles(spark, small)).where("open_time >= 1705276800000 and open_time < 1705363200000")
+    for batch_id in range(5):
+        changed = rows.withColumn("close_price", F.col("close_price") + batch_id)
+        tables.append(sinks.log_rows(changed, batch_id, "candle").repartition(12), HOT["candle"], f"{hot}.candle")
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "gathered", lambda df, layout: df.repartition(12))
+        sinks.write_batch(rows.withColumn("close_price", F.col("close_price") + 5), 5, "candle", hot)
+
+    def files():
+        return {r[0] for r in tables.read_table(spark, HOT["candle"], f"{hot}.candle").select(F.input_file_name()).distinct().collect()}
+
+    before, kept = files(), sorted(map(tuple, sinks.read_hot(spark, hot, "candle").collect()))
+    assert len(before) > 14
+    sinks.compact(spark, hot, "candle", "2024-01-15")
+    assert not files() & before and sorted(map(tuple, sinks.read_hot(spark, hot, "candle").collect())) == kept
+    assert tables.read_table(spark, HOT["candle"], f"{hot}.candle").count() == rows.count()
+
+
 def test_backlog_is_emitted_in_frames(spark, monkeypatch):
     from wicklake.streaming import processor
 

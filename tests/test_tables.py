@@ -116,6 +116,72 @@ def test_merge_into_needs_a_row_level_catalog(spark, target):
         tables.merge_into(rows(spark, (A, "A", 2, 21)), SMALL, target)
 
 
+ODD = "a b=c/d%e'f\\"
+
+
+def changes(spark):
+    return rows(spark, (A, "A", 2, 21), (B, "B", 1, 6), (C, ODD, 1, 7), (C, None, 1, 8))
+
+
+OLD = {(A, "A", 1, 10), (A, "A", 2, 20), (B, "B", 1, 5)}
+NEW = {(A, "A", 1, 10), (A, "A", 2, 21), (B, "B", 1, 6), (C, ODD, 1, 7), (C, None, 1, 8)}
+
+
+def broken(*_, **__):
+    raise RuntimeError("interrupted")
+
+
+@pytest.mark.parametrize("step", ["_write_text", "_laid_out"])
+def test_a_break_before_the_note_leaves_the_table_as_it_was(spark, target, monkeypatch, step):
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(tables, step, broken)
+        tables.upsert(changes(spark), SMALL, target)
+    assert content(spark, target) == OLD
+    tables.upsert(changes(spark), SMALL, target)
+    assert content(spark, target) == NEW
+
+
+def test_a_break_in_the_commit_is_finished_by_the_next_reader(spark, target, monkeypatch):
+    real, said = spark.sql, []
+
+    def sql(text, *a, **b):
+        said.append(text)
+        if len([t for t in said if "SET LOCATION" in t]) == 2:
+            raise RuntimeError("interrupted")
+        return real(text, *a, **b)
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(spark, "sql", sql)
+        tables.upsert(changes(spark), SMALL, target)
+    spark.catalog.refreshTable(target)
+    # One partition is new and one is old, and none is missing.
+    assert {(r.d, r.sym, r.k) for r in spark.table(target).collect()} == {(d, s, k) for d, s, k, _ in OLD}
+    assert {(r.d, r.sym, r.k, r.v) for r in tables.read_table(spark, SMALL, target).collect()} == NEW
+    tables.finish_moves(spark, target)
+    assert content(spark, target) == NEW
+
+
+def test_replaced_folders_stay_until_they_are_removed(spark, target):
+    early = spark.table(target)
+    held = early.inputFiles()
+    for v in (1, 2, 3):
+        tables.upsert(rows(spark, (A, "A", 2, v), (C, ODD, 1, v)), SMALL, target)
+        assert set(map(tuple, spark.read.parquet(*held).select("v", "k").collect())) == {(10, 1), (20, 2), (5, 1)}
+    want = {(A, "A", 1, 10), (A, "A", 2, 3), (B, "B", 1, 5), (C, ODD, 1, 3)}
+    assert tables.remove_unused(spark, target) == 1 + 2 + 2
+    assert content(spark, target) == want and tables.remove_unused(spark, target) == 0
+
+
+def test_other_writes_after_a_move(spark, target):
+    tables.upsert(changes(spark), SMALL, target)
+    tables.append(rows(spark, (A, "A", 4, 4), (date(2024, 1, 9), "N", 1, 1)), SMALL, target)
+    assert content(spark, target) == NEW | {(A, "A", 4, 4), (date(2024, 1, 9), "N", 1, 1)}
+    tables.replace_day(rows(spark, (A, "Z", 1, 1)), SMALL, target, A)
+    assert content(spark, target) == {r for r in NEW if r[0] != A} | {(A, "Z", 1, 1), (date(2024, 1, 9), "N", 1, 1)}
+    tables.upsert(rows(spark, (A, "A", 1, 2)), SMALL, target)
+    assert (A, "A", 1, 2) in content(spark, target) and (A, "A", 2, 21) not in content(spark, target)
+
+
 # --- bronze --------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -175,16 +176,16 @@ class Star:
         return staged(star.new_patterns(DIM_PATTERN_TYPE.empty(self.spark), pattern_alerts(self.rows)))
 
 
-def batch_facts(rows: DataFrame, dims: Star) -> DataFrame:
-    """Final candle facts from the older part of the candles."""
-    return star.kline_facts(target(rows), dims.symbol, dims.interval, dims.source, AS_OF)
+def batch_facts(rows: DataFrame, dims: Star, part: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Final candle facts from the older part of the candles, or from what `part` takes of them."""
+    return star.kline_facts(part(target(rows)), dims.symbol, dims.interval, dims.source, AS_OF)
 
 
-def hot_facts(rows: DataFrame, dims: Star) -> DataFrame:
+def hot_facts(rows: DataFrame, dims: Star, part: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Stream candle facts from the newer part; the lookback reaches its start."""
     hours = (tm.as_of_ms(AS_OF) - SOURCE_START_MS) // tm.HOUR_MS
     return star.hot_kline_facts(
-        stream_rows(source(rows)), dims.symbol, dims.interval, dims.source, AS_OF, hours, "1h")
+        stream_rows(part(source(rows))), dims.symbol, dims.interval, dims.source, AS_OF, hours, "1h")
 
 
 def indicator_facts(rows: DataFrame, dims: Star, hours: int | None = 48) -> DataFrame:

@@ -348,6 +348,8 @@ ORACLES["vw_pattern_alerts_recent"] = PATTERNS + f"""
 SELECT symbol, strftime(make_timestamp(close_time * 1000), '%Y-%m-%d') AS trade_date, pattern_type, close_time,
        close_time AS close_ts, close_price FROM alerts WHERE close_time >= {AS_OF} - 24 * {HOUR}"""
 
+ORACLES["symbol_point_read"] = ORACLES["fact_kline_batch"] + " WHERE symbol = 'CLICKUSDT'"
+
 # --- integrity -----------------------------------------------------------------------------------
 
 ORACLES["check_not_null"] = CANDLES + """
@@ -379,6 +381,13 @@ UNION ALL
 SELECT symbol, '1h', trade_date, open_time, close_price, NULL, 'speed_hot', FALSE
 FROM src WHERE open_time >= epoch_ms(TIMESTAMP '2024-01-16')"""
 
+ORACLES["hot_refresh_incremental"] = INDICATORS + "," + GEOMETRY + "," + PAIR + """
+SELECT 'batch_silver' AS kind, symbol, open_time AS time, round(close_price, 6) AS close_price FROM candles WHERE trade_date = '2024-01-15'
+UNION ALL SELECT 'speed_hot', symbol, open_time, round(close_price, 6) FROM src WHERE trade_date <> '2024-01-15'
+UNION ALL SELECT 'speed_hot', t.symbol, t.open_time, round(t.close_price, 6) FROM tgt t ANTI JOIN src s USING (symbol, open_time)
+UNION ALL SELECT 'indicator', symbol, open_time, round(rsi14, 6) FROM ind
+UNION ALL SELECT pattern_type, symbol, close_time, round(close_price, 6) FROM alerts"""
+
 # --- streaming -----------------------------------------------------------------------------------
 
 ORACLES["stream_raw_upsert"] = CANDLES + f"""

@@ -415,8 +415,9 @@ def fact_daily_summary(spark, sf):
 
 # --- serving -------------------------------------------------------------------------------------
 
-def _unified(rows: DataFrame, dims: inputs.Star) -> DataFrame:
-    return unify(inputs.batch_facts(rows, dims), inputs.hot_facts(rows, dims), FACT_KLINE.key, star.HOT_KLINE_COLUMNS)
+def _unified(rows: DataFrame, dims: inputs.Star, part: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """`part` takes rows of each layer; the newest of both layers have the newest of all among them."""
+    return unify(inputs.batch_facts(rows, dims, part), inputs.hot_facts(rows, dims, part), FACT_KLINE.key, star.HOT_KLINE_COLUMNS)
 
 
 @query
@@ -444,10 +445,14 @@ def vw_daily_market_summary(spark, sf):
 
 @query
 def vw_latest_snapshot(spark, sf):
+    """From the newest candles of both layers and their indicators, as the jobs keep them beside the facts."""
     rows = inputs.candles(spark, sf)
     dims = inputs.Star(spark, rows)
-    values = inputs.indicator_facts(rows, dims, None)
-    view = views.latest_snapshot(_unified(rows, dims), dims.symbol, dims.interval, dims.source, values)
+    newest = _unified(rows, dims, lambda df: by_key.latest_by(df, indicators.SERIES, "open_time"))
+    values = indicators.newest_indicators(indicators.closed_candles(rows)).drop("interval")
+    view = views.latest_snapshot(
+        newest, dims.symbol, dims.interval, dims.source,
+        star.indicator_facts(values, dims.symbol, dims.interval, AS_OF, None, "1h"))
     return view.select(
         "symbol", "interval_code", "open_time", _ms("open_ts"), "close_price", "volume", "data_source", "is_final",
         *[_r(c) for c in indicators.INDICATOR_COLUMNS], _ms("updated_at"))
@@ -462,6 +467,16 @@ def vw_pattern_alerts_recent(spark, sf):
     return view.select("symbol", _day("trade_date"), "pattern_type", "close_time", _ms("close_ts"), "close_price")
 
 
+@query
+def symbol_point_read(spark, sf):
+    """The candles of one symbol, newest first, from a fact table whose files let a reader skip the other symbols."""
+    rows = inputs.candles(spark, sf)
+    dims = inputs.Star(spark, rows)
+    table = scratch.filled(spark, FACT_KLINE, star.kline_facts(rows, dims.symbol, dims.interval, dims.source, AS_OF), "fact_kline")
+    wanted = dims.symbol.where("symbol = 'CLICKUSDT'").agg(F.max("symbol_id")).scalar()
+    return _fact_output(spark.table(table).where(F.col("symbol_id") == wanted).orderBy(F.desc("open_time")))
+
+
 # --- integrity -----------------------------------------------------------------------------------
 
 @query
@@ -537,6 +552,47 @@ def daily_chain(spark, sf):
         "symbol", "interval_code", _day("trade_date"), "open_time", "close_price", "number_of_trades", "data_source", "is_final")
 
 
+@query
+def hot_refresh_incremental(spark, sf):
+    """A final day, then the stream tables in two loads: the second brings corrected candles, and the first ones once more,
+    which count no longer. A third load has nothing to read."""
+    rows = inputs.candles(spark, sf)
+    silver, gold, hot = (scratch.namespace(spark, n) for n in ("silver", "gold", "hot"))
+    tables.ensure_silver(spark, f"{silver}.kline")
+    tables.append(clean.on_day(rows, DAY), SILVER, f"{silver}.kline")
+    tables.ensure_hot(spark, hot)
+    jobs.ensure_static(spark, gold, ["1h"])
+    jobs.load_batch(spark, f"{silver}.kline", gold, DAY, "1h", AS_OF, inputs.EXCHANGE)
+    values = indicators.technical_indicators(inputs.closed(spark, sf)).drop("interval")
+    first, second = inputs.stream_rows(inputs.target(rows)), inputs.stream_rows(inputs.source(rows))
+    found = patterns.pattern_alerts(inputs.stream_rows(rows))
+
+    def write(batch_id, candles, alerts, value_rows):
+        for name, batch in (("candle", candles), ("alert", alerts), ("indicator", value_rows)):
+            sinks.write_batch(batch, batch_id, name, hot)
+
+    def load() -> dict[str, int]:
+        return jobs.load_new_hot(spark, hot, gold, state, AS_OF, 31 * 24, "1h", inputs.EXCHANGE)
+
+    state = fresh_dir(spark, "state")
+    write(0, first, inputs.target(found), inputs.target(values))
+    load()
+    write(1, second, found, values)
+    write(0, first, inputs.target(found), inputs.target(values))
+    load()
+    if any(again := load().values()):
+        raise AssertionError(f"a load without new files read {again}")
+    t = {name: spark.table(f"{gold}.{name}") for name in (
+        "fact_kline", "fact_technical_indicator", "fact_pattern_alert", "dim_symbol", "dim_interval", "dim_data_source", "dim_pattern_type")}
+    candles = views.kline_unified(t["fact_kline"], t["dim_symbol"], t["dim_interval"], t["dim_data_source"])
+    named = t["dim_symbol"].select("symbol_id", "symbol")
+    return candles.select(F.col("data_source").alias("kind"), "symbol", F.col("open_time").alias("time"), _r("close_price")) \
+        .unionByName(t["fact_technical_indicator"].join(named, "symbol_id").select(
+            F.lit("indicator").alias("kind"), "symbol", F.col("open_time").alias("time"), F.round("rsi14", 6).alias("close_price"))) \
+        .unionByName(t["fact_pattern_alert"].join(named, "symbol_id").join(t["dim_pattern_type"], "pattern_type_id").select(
+            F.col("pattern_type").alias("kind"), "symbol", F.col("close_time").alias("time"), _r("close_price")))
+
+
 # --- streaming -----------------------------------------------------------------------------------
 
 def _landed(spark: SparkSession, rows: DataFrame) -> str:

@@ -10,12 +10,14 @@ from pyspark.sql import SparkSession
 from wicklake.functions.text import symbol_list
 from wicklake.functions.time import in_day_range
 from wicklake.operators.clean import of_interval, of_symbols
+from wicklake.operators.indicators import closed_candles
 from wicklake.plans import jobs, views
 from wicklake.session import drop_staged, spark_session
 from wicklake.sources import tables
 from wicklake.sources.export import export_csv
 from wicklake.schemas import SILVER
 from wicklake.streaming import sinks, speed_layer
+from wicklake.streaming.indicators import recent_closes
 
 
 # Lines of the run report that are shown.
@@ -54,6 +56,7 @@ def parser() -> argparse.ArgumentParser:
     gold.add_argument("--exchange", default=None)
     gold.add_argument("--hot-format", default=None, help="read the stream tables behind this data source")
     gold.add_argument("--hot-option", action="append", default=[], help="key=value; {table} stands for the table's name")
+    gold.add_argument("--hot-checkpoint", default=None, help="read only what the stream tables have got since the last run")
     as_of(gold)
 
     day = job("run-day", "bronze", "silver", "hot", "gold", "run-date")
@@ -70,6 +73,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--start", default="earliest", choices=["earliest", "latest"])
     stream.add_argument("--state-partitions", type=int, default=None)
     stream.add_argument("--once", action="store_true", help="process what is there and stop")
+    stream.add_argument("--history", default=None, help="silver table whose last closes the indicators go on from")
+    stream.add_argument("--interval", default="1m", help="interval of the history")
     stream.add_argument("--upsert", action="store_true", help="merge into the tables instead of appending")
 
     compact = job("compact", "hot", "date")
@@ -103,7 +108,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.job == "silver-to-gold":
         jobs.silver_to_gold(
             spark, a.silver, a.hot, a.gold, a.process_date, as_of, a.interval, a.hot_lookback_hours, a.exchange,
-            jobs.external_reader(a.hot_format, _pairs(a.hot_option)) if a.hot_format else jobs.read_hot)
+            jobs.external_reader(a.hot_format, _pairs(a.hot_option)) if a.hot_format else jobs.read_hot, a.hot_checkpoint)
     elif a.job == "run-day":
         places = jobs.Places(a.bronze, a.silver, a.gold, a.hot, a.pages)
         jobs.run_day(spark, places, a.run_date, as_of, a.symbols, a.interval, a.hot_lookback_hours)
@@ -111,9 +116,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jobs.backfill(spark, a.bronze, a.silver, a.start_date, a.end_date, a.interval)
     elif a.job == "stream":
         trigger = {"availableNow": True} if a.once else None
+        history = None
+        if a.history:
+            history = recent_closes(closed_candles(of_interval(tables.read_table(spark, SILVER, a.history), a.interval)))
         speed_layer.drain(speed_layer.run_speed_layer(
             spark, a.format, _pairs(a.option), a.hot, a.checkpoints, a.start, trigger, a.upsert,
-            a.state_partitions))
+            a.state_partitions, history))
     elif a.job == "publish-events":
         trigger = {"availableNow": True} if a.once else None
         jobs.publish_events(

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wicklake.functions.time import interval_seconds
 from wicklake.operators import rolling
-from wicklake.operators.rows import dedup_latest
+from wicklake.operators.rows import dedup_latest, latest_by
 
 # Frame lengths in candles.
 SMA_SHORT = 7
@@ -149,3 +149,14 @@ def technical_indicators(
     narrow = df.select(*keys, "open_time", "close_price")
     built = _over_series(narrow, MACD_HISTORY, build, keys, rows_per_chunk)
     return built.select(*keys, "open_time", "close_price", *INDICATOR_COLUMNS)
+
+
+def newest_indicators(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+    """Every indicator of the newest candle of each series, from the candles it depends on.
+
+    Spark drops all older candles in every task before the shuffle, so the history costs a scan.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("open_time").desc()))
+    tail = df.select(*keys, "open_time", "close_price").withColumn("_rank", rank).where(F.col("_rank") <= MACD_HISTORY + 1)
+    values = technical_indicators(tail.drop("_rank"), keys, rows_per_chunk=None)
+    return latest_by(values, keys, "open_time").select(*keys, "open_time", "close_price", *INDICATOR_COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,14 +18,14 @@ from wicklake.operators.merge import absent_rows
 from wicklake.operators.rows import latest_by
 from wicklake.plans import star
 from wicklake.schemas import (
-    FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, HOT, LATEST_KLINE, SILVER,
+    FACT_ALERT, FACT_DAILY, FACT_INDICATOR, FACT_KLINE, FOREIGN_KEYS, GOLD, HOT, LATEST_INDICATOR, LATEST_KLINE, SILVER,
 )
 from wicklake.session import staged
 from wicklake.sources import tables
 from wicklake.sources.bronze import existing_partitions, read_bronze, write_bronze
 from wicklake.sources.decode import decode_events, decode_pages, publish
 from wicklake.sources.external import read_external
-from wicklake.streaming.sinks import PLAIN, TIME, read_hot
+from wicklake.streaming.sinks import PLAIN, TIME, follow_hot, read_hot
 
 # (session, place, table, as_of, hours) -> current rows of a stream table.
 HotReader = Callable[..., DataFrame]
@@ -113,7 +114,7 @@ def _dim(spark: SparkSession, gold: str, name: str) -> DataFrame:
 
 
 def _add(spark: SparkSession, gold: str, name: str, rows: DataFrame) -> None:
-    tables.append(staged(rows), GOLD[name], f"{gold}.{name}")
+    tables.append(tables.checked(rows, GOLD[name], f"{gold}.{name}"), GOLD[name], f"{gold}.{name}")
 
 
 def ensure_static(spark: SparkSession, gold: str, intervals: list[str]) -> None:
@@ -150,6 +151,21 @@ def _refresh_latest(spark: SparkSession, gold: str, changed: DataFrame) -> None:
     tables.swap(latest_by(older.unionByName(new), keys, "open_time"), LATEST_KLINE, f"{gold}.latest_kline")
 
 
+def _refresh_latest_indicators(spark: SparkSession, gold: str, *changed: DataFrame) -> None:
+    """Bring the indicators of the newest candles up to date for the series that `changed` facts belong to.
+
+    Of the indicator fact only the days of those candles are read.
+    """
+    keys = list(LATEST_INDICATOR.key)
+    series = reduce(DataFrame.unionByName, [c.select(*keys) for c in changed]).distinct()
+    moved = staged(_dim(spark, gold, "latest_kline").join(series, keys, "left_semi").select(
+        *keys, "open_time", tm.utc_date(F.col("open_time")).alias("date_id")))
+    fact = tables.touched(_dim(spark, gold, "fact_technical_indicator"), moved, FACT_INDICATOR.partition_by)
+    found = fact.join(moved, [*keys, "open_time", "date_id"], "left_semi")
+    others = _dim(spark, gold, "latest_indicator").join(moved, keys, "left_anti")
+    tables.swap(others.unionByName(found), LATEST_INDICATOR, f"{gold}.latest_indicator")
+
+
 def load_batch(
     spark: SparkSession, silver: str, gold: str, day: date | str, interval: str, as_of: datetime | str,
     exchange: str | None = None,
@@ -166,6 +182,7 @@ def load_batch(
     facts = star.kline_facts(rows, symbols, intervals, _dim(spark, gold, "dim_data_source"), as_of)
     tables.upsert(facts, FACT_KLINE, f"{gold}.fact_kline")
     _refresh_latest(spark, gold, facts)
+    _refresh_latest_indicators(spark, gold, facts)
     daily = star.daily_facts(rows, symbols, intervals, as_of)
     tables.upsert(daily, FACT_DAILY, f"{gold}.fact_daily_market_summary")
     return True
@@ -180,15 +197,9 @@ def _add_keys(
     _add(spark, gold, "dim_date", star.new_dates(_dim(spark, gold, "dim_date"), days))
 
 
-def refresh_hot(
-    spark: SparkSession, hot: str, gold: str, as_of: datetime | str, hours: int = 48,
-    interval: str = "1m", exchange: str | None = None, read: HotReader = read_hot,
+def _hot_candles(
+    spark: SparkSession, gold: str, candles: DataFrame, as_of: datetime | str, hours: int, interval: str, exchange: str | None,
 ) -> None:
-    """Recent stream tables into gold. Final candles stay as they are.
-
-    `read` gives the current rows of a stream table; `external_reader` makes one for tables outside the catalog.
-    """
-    candles = clean.lookback(read(spark, hot, "candle", as_of, hours), as_of, hours)
     _add_keys(spark, gold, candles, candles, "open_time", as_of, exchange)
     facts = star.hot_kline_facts(
         candles, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_interval"),
@@ -196,13 +207,44 @@ def refresh_hot(
     tables.upsert(
         facts, FACT_KLINE, f"{gold}.fact_kline", update=star.HOT_KLINE_COLUMNS, keep_if="is_final")
     _refresh_latest(spark, gold, facts)
+    _refresh_latest_indicators(spark, gold, facts)
+
 
-    indicators = clean.lookback(read(spark, hot, "indicator", as_of, hours), as_of, hours)
+def _hot_indicators(
+    spark: SparkSession, gold: str, indicators: DataFrame, as_of: datetime | str, hours: int, interval: str, exchange: str | None,
+) -> None:
     _add_keys(spark, gold, indicators, indicators, "open_time", as_of, exchange)
     facts = star.indicator_facts(
         indicators, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_interval"), as_of, hours, interval)
     tables.upsert(
         facts, FACT_INDICATOR, f"{gold}.fact_technical_indicator", update=star.INDICATOR_UPDATE_COLUMNS)
+    _refresh_latest_indicators(spark, gold, facts)
+
+
+def _hot_alerts(
+    spark: SparkSession, gold: str, names: DataFrame, recent: DataFrame, as_of: datetime | str, hours: int, exchange: str | None,
+) -> None:
+    """`names` has the symbols, whatever their date; dates and facts come from the `recent` alerts."""
+    _add_keys(spark, gold, names, recent, "close_time", as_of, exchange)
+    rows = staged(star.alert_rows(
+        recent, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_pattern_type"), as_of, hours))
+    fact = _dim(spark, gold, "fact_pattern_alert")
+    nearby = tables.touched(fact, rows, FACT_ALERT.partition_by)
+    fresh = star.new_alerts(staged(absent_rows(rows, nearby, FACT_ALERT.key)), fact, FACT_ALERT.empty(spark))
+    _add(spark, gold, "fact_pattern_alert", fresh)
+
+
+def refresh_hot(
+    spark: SparkSession, hot: str, gold: str, as_of: datetime | str, hours: int = 48,
+    interval: str = "1m", exchange: str | None = None, read: HotReader = read_hot,
+) -> None:
+    """Recent stream tables into gold. Final candles stay as they are.
+
+    `read` gives the current rows of a stream table; `external_reader` makes one for tables outside the catalog.
+    `load_new_hot` does the same for tables of the catalog without reading the lookback again.
+    """
+    _hot_candles(spark, gold, clean.lookback(read(spark, hot, "candle", as_of, hours), as_of, hours), as_of, hours, interval, exchange)
+    _hot_indicators(spark, gold, clean.lookback(read(spark, hot, "indicator", as_of, hours), as_of, hours), as_of, hours, interval, exchange)
 
     # Symbols and pattern types come from all alerts, dates and facts from the recent ones. Only a type
     # that is new somewhere in the log makes it worth finding the current alerts of the whole history.
@@ -211,22 +253,54 @@ def refresh_hot(
     if not star.new_patterns(patterns, log).isEmpty():
         _add(spark, gold, "dim_pattern_type", star.new_patterns(patterns, read(spark, hot, "alert")))
     recent = clean.lookback(read(spark, hot, "alert", as_of, hours), as_of, hours, "close_time")
-    _add_keys(spark, gold, log, recent, "close_time", as_of, exchange)
-    rows = staged(star.alert_rows(
-        recent, _dim(spark, gold, "dim_symbol"), _dim(spark, gold, "dim_pattern_type"), as_of, hours))
-    fact = _dim(spark, gold, "fact_pattern_alert")
-    nearby = tables.touched(fact, rows, FACT_ALERT.partition_by)
-    tables.append(star.new_alerts(staged(absent_rows(rows, nearby, FACT_ALERT.key)), fact, FACT_ALERT.empty(spark)), FACT_ALERT, f"{gold}.fact_pattern_alert")
+    _hot_alerts(spark, gold, log, recent, as_of, hours, exchange)
+
+
+def load_new_hot(
+    spark: SparkSession, hot: str, gold: str, checkpoint: str, as_of: datetime | str, hours: int = 48,
+    interval: str = "1m", exchange: str | None = None, max_files: int | None = None,
+) -> dict[str, int]:
+    """What the stream tables have got since the last run, into gold; gives how many entries were read of each.
+
+    The log of a table is read as a stream of files with a checkpoint below `checkpoint`, so each entry is read once and a run
+    without new files reads nothing. `newer_rows` settles which of the new entries are the newest of their key. A run that breaks
+    off is repeated from its checkpoint, with the same rows in the end. `updated_at` changes for new rows only, where `refresh_hot`
+    sets it for the whole lookback. `max_files` bounds one step of a first run over a long log.
+    """
+    def load(name: str, rows: DataFrame) -> None:
+        session = rows.sparkSession
+        recent = clean.lookback(rows, as_of, hours, TIME[name])
+        if name == "candle":
+            _hot_candles(session, gold, recent, as_of, hours, interval, exchange)
+        elif name == "indicator":
+            _hot_indicators(session, gold, recent, as_of, hours, interval, exchange)
+        else:
+            _add(session, gold, "dim_pattern_type", star.new_patterns(_dim(session, gold, "dim_pattern_type"), rows))
+            _hot_alerts(session, gold, rows, recent, as_of, hours, exchange)
+
+    read = {}
+    for name in ("candle", "indicator", "alert"):
+        query = follow_hot(spark, hot, name, f"{checkpoint}/{name}", load, max_files)
+        query.awaitTermination()
+        read[name] = sum(p["numInputRows"] for p in query.recentProgress)
+    # The streams wrote in sessions of their own, which this one cannot notice.
+    for table in GOLD:
+        spark.catalog.refreshTable(f"{gold}.{table}")
+    return read
 
 
 def silver_to_gold(
     spark: SparkSession, silver: str, hot: str, gold: str, day: date | str, as_of: datetime | str,
     interval: str = "1m", hours: int = 48, exchange: str | None = None, read: HotReader = read_hot,
+    hot_checkpoint: str | None = None,
 ) -> None:
-    """Batch day into gold, then the recent stream rows on top."""
+    """Batch day into gold, then the recent stream rows on top; with `hot_checkpoint` only those that are new since the last run."""
     ensure_static(spark, gold, [interval])
     load_batch(spark, silver, gold, day, interval, as_of, exchange)
-    refresh_hot(spark, hot, gold, as_of, hours, interval, exchange, read)
+    if hot_checkpoint:
+        load_new_hot(spark, hot, gold, hot_checkpoint, as_of, hours, interval, exchange)
+    else:
+        refresh_hot(spark, hot, gold, as_of, hours, interval, exchange, read)
 
 
 def publish_events(

@@ -39,7 +39,8 @@ def latest_snapshot(
 ) -> DataFrame:
     """Latest candle of every series with its indicators, which are found by series and open time.
 
-    `fact` is the candle fact, or the table of the newest candles that the jobs keep beside it, which gives the same rows.
+    `fact` and `indicators` are the facts, or the tables that the jobs keep beside them: the newest candles and their indicators,
+    which give the same rows and have one a series.
     """
     keys = ["symbol_id", "interval_id"]
     latest = latest_by(
@@ -90,7 +91,7 @@ def create(spark: SparkSession, gold: str) -> None:
         SELECT symbol, interval_code, open_time, f.open_ts, f.close_price, volume, source_code AS data_source, is_final, sma7, sma25, rsi14,
                macd, macd_signal, macd_hist, f.updated_at
         FROM {gold}.latest_kline f
-        LEFT JOIN {gold}.fact_technical_indicator USING (symbol_id, interval_id, open_time) {symbol} {interval} {source}""")
+        LEFT JOIN {gold}.latest_indicator USING (symbol_id, interval_id, open_time) {symbol} {interval} {source}""")
     spark.sql(f"""CREATE OR REPLACE VIEW {gold}.vw_pattern_alerts_recent AS
         SELECT symbol, date_id AS trade_date, pattern_type, close_time, close_ts, close_price, a.created_at
         FROM {gold}.fact_pattern_alert a {symbol} JOIN {gold}.dim_date USING (date_id)
@@ -102,13 +103,13 @@ def register(spark: SparkSession, gold: str, as_of: datetime | str) -> None:
     """The four queries as temporary views over the tables of a gold namespace."""
     t = {name: spark.table(f"{gold}.{name}") for name in (
         "dim_symbol", "dim_interval", "dim_date", "dim_data_source", "dim_pattern_type", "fact_kline", "latest_kline",
-        "fact_daily_market_summary", "fact_technical_indicator", "fact_pattern_alert")}
+        "fact_daily_market_summary", "latest_indicator", "fact_pattern_alert")}
     kline_unified(t["fact_kline"], t["dim_symbol"], t["dim_interval"], t["dim_data_source"]) \
         .createOrReplaceTempView("vw_kline_unified")
     daily_market_summary(t["fact_daily_market_summary"], t["dim_symbol"], t["dim_interval"]) \
         .createOrReplaceTempView("vw_daily_market_summary")
     latest_snapshot(
         t["latest_kline"], t["dim_symbol"], t["dim_interval"], t["dim_data_source"],
-        t["fact_technical_indicator"]).createOrReplaceTempView("vw_latest_market_snapshot")
+        t["latest_indicator"]).createOrReplaceTempView("vw_latest_market_snapshot")
     recent_alerts(t["fact_pattern_alert"], t["dim_symbol"], t["dim_date"], t["dim_pattern_type"], as_of) \
         .createOrReplaceTempView("vw_pattern_alerts_recent")

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 class Layout:
     """Column types of one table, how it is partitioned and what identifies a row.
 
-    `small_partitions` says that a partition holds one day of one symbol, so one task can write it.
+    `small_partitions` says that a partition holds one day of one symbol, so one task can write it. `find_by` are columns that
+    single values are looked up by: files get Bloom filters on them and short pages, so that a reader skips the rest.
     """
 
     columns: tuple[tuple[str, str], ...]
@@ -20,6 +21,7 @@ class Layout:
     not_null: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     small_partitions: bool = False
+    find_by: tuple[str, ...] = ()
 
     @property
     def names(self) -> list[str]:
@@ -138,6 +140,7 @@ FACT_KLINE = Layout(
     key=("symbol_id", "interval_id", "open_time"),
     not_null=("symbol_id", "interval_id", "date_id", "open_time", "open_ts", "is_final", "updated_at"),
     sort_by=("symbol_id", "-open_time"),
+    find_by=("symbol_id",),
 )
 
 # The newest candle of every series, kept beside the fact so that the snapshot need not read it.
@@ -167,8 +170,12 @@ FACT_INDICATOR = Layout(
     key=("symbol_id", "interval_id", "open_time"),
     not_null=("symbol_id", "interval_id", "date_id", "open_time", "open_ts", "updated_at"),
     sort_by=("symbol_id", "-open_time"),
+    find_by=("symbol_id",),
 )
 
+# The indicators of those candles, as far as there are any.
+LATEST_INDICATOR = Layout(FACT_INDICATOR.columns, key=("symbol_id", "interval_id"), not_null=FACT_INDICATOR.not_null)
+
 FACT_ALERT = Layout(
     _columns("""
         alert_id bigint, symbol_id bigint, date_id date, pattern_type_id bigint,
@@ -177,6 +184,7 @@ FACT_ALERT = Layout(
     key=("symbol_id", "pattern_type_id", "close_time", "close_price"),
     not_null=("alert_id", "symbol_id", "date_id", "pattern_type_id", "close_time", "close_ts", "created_at"),
     sort_by=("symbol_id", "-close_time"),
+    find_by=("symbol_id",),
 )
 
 GOLD = {
@@ -189,6 +197,7 @@ GOLD = {
     "latest_kline": LATEST_KLINE,
     "fact_daily_market_summary": FACT_DAILY,
     "fact_technical_indicator": FACT_INDICATOR,
+    "latest_indicator": LATEST_INDICATOR,
     "fact_pattern_alert": FACT_ALERT,
 }
 
