@@ -102,3 +102,40 @@ def test_no_rows(spark, small):
     assert decontaminate.contaminated(no_docs(spark), bench).collect() == []
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == []
     assert decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
+
+
+def every_pair(passages, texts):
+    """Fewest edits of each passage in each text, where they are within its budget and the lemma holds."""
+    return {(t, i): n for t, text in enumerate(texts) for i, p in enumerate(passages.texts)
+            if (n := distance_in(p, text)) <= passages.budgets[i]}
+
+
+@pytest.mark.parametrize("hits", [1, 200, decontaminate._HITS])
+def test_rulers_and_windows_equal_full_alignment(monkeypatch, hits):
+    monkeypatch.setattr(decontaminate, "_HITS", hits)
+    rng = random.Random(8)
+    for _ in range(12):
+        texts = ["=" * 40, "question " + "-" * 30 + " answer", "".join(rng.choice("abcd ") for _ in range(50)).strip() or "abcdabcd"]
+        passages = decontaminate.Passages.of(texts)
+        docs = []
+        for _ in range(4):
+            parts = [rng.choice(["=" * rng.randint(0, 120), "-" * rng.randint(0, 80), "".join(edited(rng, rng.choice(texts), rng.randint(0, 4))),
+                                 "".join(rng.choice("abcd ") for _ in range(60))]) for _ in range(rng.randint(0, 3))]
+            docs.append(" ".join(parts))
+        got = decontaminate.find(passages, docs)
+        assert {(t, i): n for t, i, _, _, n in got} == every_pair(passages, docs)
+        for t, i, start, end, n in got:
+            assert distance_in(passages.texts[i], docs[t][start:end]) == n
+
+
+def test_long_rulers_need_little_memory():
+    import tracemalloc
+
+    for passage, text in (("-" * 300, "-" * 200_000), ("Question: what? " + "=" * 200 + " answer", "x " + "=" * 60_000)):
+        passages = decontaminate.Passages.of([passage])
+        tracemalloc.start()
+        found = decontaminate.find(passages, [text])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 400 << 20
+        assert [f[4] for f in found] == [distance_in(passage, text[:1500])][:1 if distance_in(passage, text[:1500]) <= passages.budgets[0] else 0]

@@ -20,6 +20,8 @@ _BUFFER = 1 << 18
 _BASE = 0x9E3779B1
 _SPACES = "\t\n\x0b\f\r\xa0"
 _BINS = 1 << 20
+# Places of a text are looked at together as long as they meet so many places of passages.
+_HITS = 1 << 19
 # Costs and start diagonals share a number in the alignment.
 _COST = np.int64(1 << 20)
 
@@ -99,6 +101,7 @@ class Passages:
 
         A diagonal is a place in the buffer less a place in the passage. An alignment with k edits stays on k + 1
         neighbouring diagonals; bands of 2k + 1 diagonals that begin every k + 1 hold it whole in one of them.
+        Places are looked at in windows that overlap by what a band can span, so each band is whole in one of them.
         """
         hashes = _gram_hashes(characters, self.gram)
         at = np.flatnonzero(self.filter[hashes >> np.uint32(32 - _FILTER_LOG2)])
@@ -110,11 +113,51 @@ class Passages:
         text = np.searchsorted(starts, at, side="right") - 1
         real = at + self.gram <= starts[text + 1]
         at, slot, text = at[real], slot[real], text[real]
-        times = self.first[slot + 1] - self.first[slot]
-        hit = np.repeat(np.arange(len(at)), times)
-        entry = np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.first[slot], times)
+        span = max(map(len, self.texts)) + 2 * int(self.budgets.max()) + 1
+        found, windows = set(), [(0, len(at))]
+        while windows:
+            low, high = windows.pop()
+            if high - low > 1 and self._expanded(slot[low:high], at[low:high], text[low:high]) > _HITS and at[high - 1] - at[low] > 4 * span:
+                middle = (at[low] + at[high - 1]) // 2
+                windows.append((low, int(np.searchsorted(at, middle + span, "right"))))
+                windows.append((int(np.searchsorted(at, middle)), high))
+            elif high > low:
+                found.update(self._bands(at[low:high], slot[low:high], text[low:high]))
+        return sorted(found)
+
+    def _runs(self, at: np.ndarray, slot: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs of one gram at neighbouring places of a text begin, and how many places they have."""
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(slot) != 0) | (np.diff(text) != 0))))
+        return first, np.diff(np.append(first, len(at)))
+
+    def _expanded(self, slot: np.ndarray, at: np.ndarray, text: np.ndarray) -> int:
+        """At most how many rows `_bands` makes of these places."""
+        first, length = self._runs(at, slot, text)
+        times = self.first[slot[first] + 1] - self.first[slot[first]]
+        return int((times * (1 + -(-(length - 1) // (int(self.budgets.min()) + 1)))).sum())
+
+    def _bands(self, at: np.ndarray, slot: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Bands with enough shared q-grams among some places.
+
+        A run of equal grams, such as a ruler, meets each place of the passage that has the gram on an interval of diagonals. It
+        stands for them by diagonals a budget's worth apart and the last one: every band, and every k + 1 neighbouring diagonals,
+        that share one with the interval hold such a diagonal, so bands are found as if all places were there.
+        """
+        first, length = self._runs(at, slot, text)
+        times = self.first[slot[first] + 1] - self.first[slot[first]]
+        hit = np.repeat(first, times)
+        entry = np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.first[slot[first]], times)
+        more = np.repeat(length - 1, times)
+        samples = -(-more // (self.budgets[self.item[entry]] + 1)) + 1
+        if len(hit) and samples.max() > 1:
+            step = np.repeat(self.budgets[self.item[entry]] + 1, samples)
+            nth = np.arange(int(samples.sum())) - np.repeat(np.cumsum(samples) - samples, samples)
+            along = np.minimum(nth * step, np.repeat(more, samples))
+            hit, entry = np.repeat(hit, samples), np.repeat(entry, samples)
+        else:
+            along = 0
         item, offset = self.item[entry], self.offset[entry]
-        diagonal = at[hit] - offset
+        diagonal = at[hit] + along - offset
         # Most hits stand alone. Diagonals are counted in bins that a budget's worth of them fits in, so an alignment is in
         # one or two neighbours; bins are hashed, and a clash only adds to a count.
         bin_ = (item * 0x9E3779B1 + (diagonal >> self.shifts[item])) & (_BINS - 1)
@@ -122,7 +165,7 @@ class Passages:
         beside = np.maximum(filled[bin_ - 1], filled[(bin_ + 1) & (_BINS - 1)])
         dense = np.flatnonzero(filled[bin_] + beside >= self.needed[item])
         if not len(dense):
-            return []
+            return
         hit, item, offset, diagonal = hit[dense], item[dense], offset[dense], diagonal[dense]
         step = self.budgets[item] + 1
         band = np.floor_divide(diagonal, step)
@@ -137,7 +180,7 @@ class Passages:
         first = np.flatnonzero(head)
         shared = np.diff(np.append(first, len(keys)))
         good = first[shared >= self.needed[keys[first, 1]]]
-        return [(int(t), int(i), int(b) * int(self.budgets[i] + 1)) for t, i, b in keys[good, :3]]
+        yield from ((int(t), int(i), int(b) * int(self.budgets[i] + 1)) for t, i, b in keys[good, :3])
 
 
 def align(passage: np.ndarray, text: np.ndarray, first_diagonal: int, width: int) -> tuple[int, int, int]:
@@ -170,6 +213,8 @@ def find(passages: Passages, texts: list[str]) -> list[tuple[int, int, int, int,
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     arrays: dict[int, np.ndarray] = {}
     for first, last, whole, starts in _buffers(texts):
+        # Neighbouring bands of a uniform stretch read the same characters and align alike.
+        last_read: tuple = ()
         for t, i, diagonal in passages.candidates(whole, starts):
             key, budget, passage = (first + t, i), int(passages.budgets[i]), passages.texts[i]
             if key in best and best[key][0] == 0:
@@ -181,7 +226,13 @@ def find(passages: Passages, texts: list[str]) -> list[tuple[int, int, int, int,
             else:
                 if i not in arrays:
                     arrays[i] = _characters(passage).astype(np.int64)
-                found = align(arrays[i], whole[starts[t]:starts[t + 1]], begin, 2 * budget + 1)
+                read = (t, i, text[begin:begin + len(passage) + 2 * budget + 1]) if 0 <= begin <= len(text) - len(passage) - 2 * budget - 1 else ()
+                if read and last_read[:3] == read:
+                    cost, start, end = last_read[3]
+                    found = cost, start + begin, end + begin
+                else:
+                    found = align(arrays[i], whole[starts[t]:starts[t + 1]], begin, 2 * budget + 1)
+                    last_read = (*read, (found[0], found[1] - begin, found[2] - begin)) if read else ()
             if found[0] <= budget:
                 best[key] = min(best.get(key, found), found)
     whole_texts: dict[str, list[int]] = {}
