@@ -22,9 +22,12 @@ def test_jobs_from_the_command_line(spark, small, capsys):
     run("bronze-to-silver --bronze {b} --silver {s} --process-date 2024-01-14 --interval 1h", b=bronze, s=silver)
     assert "CLICKUSDT" in capsys.readouterr().out
     run("backfill --bronze {b} --silver {s} --start-date 2024-01-14 --end-date 2024-01-16 --interval 1h", b=bronze, s=silver)
-    run("stream --hot {h} --checkpoints {c} --format text --option path={l} --once", h=hot, c=fresh_dir(spark, "c"), l=landed)
+    run("stream --hot {h} --checkpoints {c} --format text --option path={l} --once --history {s} --interval 1h",
+        h=hot, c=fresh_dir(spark, "c"), l=landed, s=silver)
     run("silver-to-gold --silver {s} --hot {h} --gold {g} --process-date 2024-01-15 --interval 1h"
-        " --as-of 2024-01-31T00:00:00 --hot-lookback-hours 24", s=silver, h=hot, g=gold)
+        " --as-of 2024-01-31T00:00:00 --hot-lookback-hours 24 --hot-checkpoint {c}", s=silver, h=hot, g=gold, c=fresh_dir(spark, "c"))
+    run("clean-table --table {g}.fact_kline", g=gold)
+    assert "folders removed" in capsys.readouterr().out
     run("compact --hot {h} --table candle --date 2024-01-15", h=hot)
     out = fresh_dir(spark, "csv")
     run("export-csv --silver {s} --symbols clickusdt --start-date 2024-01-15 --end-date 2024-01-16 --interval 1h --out {o}",

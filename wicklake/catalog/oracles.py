@@ -370,6 +370,10 @@ WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id"""
 ORACLES["backfill_equals_loop"] = CANDLES + f"""
 SELECT {SILVER_OUT}, CAST(2 AS BIGINT) AS tables FROM candles WHERE trade_date >= '2024-01-10' AND trade_date < '2024-01-15'"""
 
+ORACLES["bootstrap_days"] = CANDLES + f"""
+SELECT {SILVER_OUT} FROM candles WHERE trade_date IN ('2024-01-15', '2024-01-16')
+UNION ALL SELECT {SILVER_OUT} FROM candles WHERE trade_date = '2024-01-15'"""
+
 ORACLES["overwrite_day_guard"] = CANDLES + "," + PAIR + f"""
 SELECT {SILVER_OUT} FROM tgt WHERE trade_date <> '2024-01-15'
 UNION ALL SELECT {SILVER_OUT} FROM src WHERE trade_date = '2024-01-15'"""

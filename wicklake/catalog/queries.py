@@ -517,6 +517,18 @@ def backfill_equals_loop(spark, sf):
     return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("tables"))
 
 
+@query
+def bootstrap_days(spark, sf):
+    """Two days are appended to an empty silver table, one of them twice, and one that bronze lacks adds no rows but keeps the types."""
+    rows = inputs.candles(spark, sf)
+    root, table = fresh_dir(spark, "bronze"), f"{scratch.namespace(spark, 'silver')}.kline"
+    bronze_files.write_bronze(inputs.bronze(rows), root)
+    for day in (DAY, "2024-01-16", "2020-01-01", DAY):
+        jobs.bronze_to_silver(spark, root, table, day, "1h", "bootstrap")
+    none = clean.silver_rows(bronze_files.read_bronze(spark, root, "1h", "2020-01-01"))
+    return _silver_output(spark.table(table).select(*SILVER.names).unionByName(none))
+
+
 @query
 def overwrite_day_guard(spark, sf):
     """Day 2024-01-15 is overwritten from bronze; day 2024-01-10, which bronze lacks, is refused and stays."""

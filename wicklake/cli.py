@@ -73,8 +73,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--start", default="earliest", choices=["earliest", "latest"])
     stream.add_argument("--state-partitions", type=int, default=None)
     stream.add_argument("--once", action="store_true", help="process what is there and stop")
-    stream.add_argument("--history", default=None, help="silver table whose last closes the indicators go on from")
-    stream.add_argument("--interval", default="1m", help="interval of the history")
+    stream.add_argument("--history", default=None, help="silver table whose last closes, of --interval, the indicators go on from")
     stream.add_argument("--upsert", action="store_true", help="merge into the tables instead of appending")
 
     compact = job("compact", "hot", "date")
@@ -88,6 +87,7 @@ def parser() -> argparse.ArgumentParser:
 
     job("check-gold", "gold")
     job("create-views", "gold")
+    job("clean-table", "table")
 
     job("export-csv", "silver", "symbols", "start-date", "end-date", "out")
     return top
@@ -130,6 +130,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jobs.check_gold(spark, a.gold)
     elif a.job == "create-views":
         views.create(spark, a.gold)
+    elif a.job == "clean-table":
+        print(f"{tables.remove_unused(spark, a.table)} folders removed")
     elif a.job == "compact":
         sinks.compact(spark, a.hot, a.table, a.date)
     elif a.job == "export-csv":
