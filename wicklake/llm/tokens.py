@@ -6,10 +6,11 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,8 +27,8 @@ ROWS_PER_PART = 1 << 16
 LEAST_ROWS_PER_PART = 512
 LEVEL = 1
 
-# The first so many pieces that a Python worker meets are remembered; others are known for a batch.
-_MOST_PIECES = 600_000
+# The first so many pieces that a Python worker meets are remembered, in some 50 MB; others are known for a batch.
+_MOST_PIECES = 1_000_000
 _ENCODE_AT_ONCE = 1 << 16
 # White space of two or more that a space ends: only there may a space belong to what stands before it.
 _LOOSE = re.compile(r"\s ")
@@ -40,6 +41,9 @@ class PieceEncoder:
     that stands before something other than white space. A text without white space before any of its spaces can
     therefore be encoded in pieces that begin at its spaces, and a piece met before needs no second encoding.
     Other texts are encoded whole.
+
+    Known pieces are kept as 128 bits of hash, sorted by the first half, with the place of their ids in a pool: some 45 bytes each.
+    Arrow cuts a batch and numbers its different pieces, so only those are hashed and looked up.
     """
 
     def __init__(self, path: str):
@@ -52,9 +56,8 @@ class PieceEncoder:
         for token, i in self.tokenizer.get_vocab().items():
             # Byte-level vocabularies write each byte as one character; an added token is written as it is.
             self.n_bytes[i] = len(token)
-        self.index: dict[str, int] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.at = np.zeros(0, np.int64)
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -68,25 +71,49 @@ class PieceEncoder:
         cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="left") + 1 if pieces else np.zeros(0, np.int64)
         return ids, np.diff(cuts, prepend=0)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces that begin with white space after their space are encoded one by one: run together with the piece
-        before them they could be split otherwise."""
-        if not pieces:
-            return
-        plain = [p for p in pieces if p and not p[0].isspace()]
-        spaced = [p for p in pieces if not p or p[0].isspace()]
-        lengths, pools = [self.lengths], [self.pool]
+    def _encode_new(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """An order of the pieces, their ids run together in that order, and the number of each.
+
+        Pieces that begin with white space after their space are encoded one by one: run together with the piece
+        before them they could be split otherwise.
+        """
+        plain = [i for i, p in enumerate(pieces) if p and not p[0].isspace()]
+        spaced = [i for i, p in enumerate(pieces) if not p or p[0].isspace()]
+        pools, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for first in range(0, len(plain), _ENCODE_AT_ONCE):
-            ids, n = self._encode_pieces([" " + p for p in plain[first:first + _ENCODE_AT_ONCE]])
+            ids, n = self._encode_pieces([" " + pieces[i] for i in plain[first:first + _ENCODE_AT_ONCE]])
+            pools.append(ids)
             lengths.append(n)
+        for ids in self._encode([" " + pieces[i] for i in spaced]):
             pools.append(ids)
-        for ids in self._encode([" " + p for p in spaced]):
             lengths.append(np.array([len(ids)]))
-            pools.append(ids)
-        start = len(self.lengths)
-        self.index.update(zip([*plain, *spaced], range(start, start + len(pieces))))
-        self.lengths, self.pool = np.concatenate(lengths), np.concatenate(pools)
-        self.at = np.cumsum(self.lengths) - self.lengths
+        return [*plain, *spaced], np.concatenate(pools), np.concatenate(lengths)
+
+    def _places(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of different pieces are in a pool, how many, and the pool. New pieces are remembered as long as there is room."""
+        data = pieces.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, data)), ">u8").astype(np.uint64)
+        key, check = digests[::2], digests[1::2]
+        at, lengths = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        slot = np.searchsorted(self.key, key)
+        there = np.flatnonzero(slot < len(self.key))
+        there = there[(self.key[slot[there]] == key[there]) & (self.check[slot[there]] == check[there])]
+        at[there], lengths[there] = self.at[slot[there]], self.lengths[slot[there]]
+        new = np.ones(len(pieces), bool)
+        new[there] = False
+        new = np.flatnonzero(new)
+        order, ids, n = self._encode_new([data[i].decode() for i in new])
+        new = new[order]
+        at[new], lengths[new] = len(self.pool) + np.cumsum(n) - n, n
+        pool = np.concatenate((self.pool, ids))
+        kept = new[:max(0, _MOST_PIECES - len(self.key))]
+        if len(kept):
+            self.pool = pool[:at[kept[-1]] + lengths[kept[-1]]]
+            by_key = kept[np.argsort(key[kept])]
+            before = np.searchsorted(self.key, key[by_key])
+            self.key, self.check = np.insert(self.key, before, key[by_key]), np.insert(self.check, before, check[by_key])
+            self.at, self.lengths = np.insert(self.at, before, at[by_key]), np.insert(self.lengths, before, lengths[by_key])
+        return at, lengths, pool
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as the tokenizer gives them for the whole text."""
@@ -96,31 +123,25 @@ class PieceEncoder:
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
         split = [i for i, x in enumerate(out) if x is None]
+        if not split:
+            return out
+        cut = pc.split_pattern(pa.array([texts[i] for i in split], pa.large_string()), " ")
+        pieces, starts = cut.flatten(), cut.offsets.to_numpy()
         # The first piece of a text has no space before it.
-        cut = [texts[i].split(" ") for i in split]
-        heads = self._encode([pieces[0] for pieces in cut])
-        known, distinct = self.index, set().union(*(islice(pieces, 1, None) for pieces in cut))
-        new = sorted(p for p in distinct if p not in known)
-        kept = max(0, min(len(new), _MOST_PIECES - len(known)))
-        self._learn(new[:kept])
-        size = len(self.lengths), len(self.pool)
-        self._learn(new[kept:])
-        # Each distinct piece is looked up among all known ones once, the rest in the small table of the batch.
-        here = dict(zip(distinct, map(known.__getitem__, distinct)))
-        for i, first, pieces in zip(split, heads, cut):
-            places = np.fromiter(map(here.__getitem__, islice(pieces, 1, None)), np.int64, len(pieces) - 1)
-            out[i] = np.concatenate([first, self._gather(places)])
-        for piece in new[kept:]:
-            del known[piece]
-        self.lengths, self.at, self.pool = self.lengths[:size[0]], self.at[:size[0]], self.pool[:size[1]]
-        return out
-
-    def _gather(self, places: np.ndarray) -> np.ndarray:
-        """The ids of known pieces, run together."""
-        n = self.lengths[places]
+        heads = self._encode(pieces.take(pa.array(starts[:-1])).to_pylist())
+        tail = np.ones(len(pieces), bool)
+        tail[starts[:-1]] = False
+        found = pieces.filter(pa.array(tail)).dictionary_encode()
+        at, lengths, pool = self._places(found.dictionary)
+        number = found.indices.to_numpy()
+        n, at = lengths[number], at[number]
         stops = np.cumsum(n)
         total = int(stops[-1]) if len(stops) else 0
-        return self.pool[np.arange(total) + np.repeat(self.at[places] - (stops - n), n)]
+        ids = pool[np.arange(total) + np.repeat(at - (stops - n), n)]
+        ends = np.concatenate(([0], stops))[starts[1:] - np.arange(1, len(starts))]
+        for i, head, first, last in zip(split, heads, np.concatenate(([0], ends)), ends):
+            out[i] = np.concatenate((head, ids[first:last]))
+        return out
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -180,8 +201,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, planes: str = "byte", bloc
     planes that are compressed alone. Spark writes the files, so any folder it can write to will do, a lost task is
     written again and a failed one leaves nothing behind.
 
-    Texts meet in order by one range shuffle on doc_id. Null ids come first; rows with one id are in order of their
-    text. A null or empty text is END_ID alone. Other columns are not read. No rows give no chunks.
+    Texts meet in order by one range shuffle on doc_id and a hash of the text, so rows with one id, or none, spread over tasks as
+    well. Null ids come first; rows with one id are in order of that hash, then of their text. A null or empty text is END_ID alone. Other columns are not read. No rows give no chunks.
     """
     text_batches(docs.sparkSession)
 
@@ -212,11 +233,11 @@ def write(docs: DataFrame, tokenizer: str, path: str, planes: str = "byte", bloc
     _SCHEMA = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("part_start", pa.int64()), ("n_ids", pa.int64()), ("block", pa.int32()),
                          ("planes", pa.string()), ("plane_sizes", pa.list_(pa.int32())), ("doc_ids", pa.list_(pa.int64())),
                          ("doc_tokens", pa.list_(pa.int64())), ("body", pa.binary())])
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     rows = plain.count()
     parts = max(1, -(-rows // ROWS_PER_PART),
                 min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // LEAST_ROWS_PER_PART))
-    (plain.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    (plain.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
      .mapInArrow(chunks, CHUNKS).write.option("compression", "none").parquet(path))
 
 
