@@ -2,6 +2,7 @@ import html
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from wicklake.llm import html as pages_of
 from wicklake.llm.queries import LLM_QUERIES
@@ -116,3 +117,47 @@ def test_exact_copies_take_no_place_of_the_sample(spark):
     got = {r.page_id: r.text for r in pages_of.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert len(got) == 80
     assert all(got[100 * k + i].startswith(f"Story {i}\n\n") and "Subscribe" not in got[100 * k + i] for i in range(10) for k in range(8))
+
+
+def by_hash(spark, pages):
+    signs = spark.createDataFrame([(p,) for p in pages], "html string").select("html", F.xxhash64("html").alias("sign")).collect()
+    return [(r.sign, r.html) for r in sorted(signs, key=lambda r: r.sign)]
+
+
+def test_wrapper_counts_all_pages_of_a_host(spark):
+    # Eight pages that share nothing with others come first by hash; the template is on all of the rest.
+    odd = by_hash(spark, [f"<html><body><p>Odd one {i}</p><p>{'thing ' * i} alone</p></body></html>" for i in range(300)])[:8]
+    usual = [p for sign, p in by_hash(spark, [soup(i) for i in range(60)]) if sign > odd[-1][0]]
+    assert len(usual) > 40
+    pages = [p for _, p in odd] + usual
+    rows = [(i, f"http://soup.example/{i}", p) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in pages_of.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith("Odd one") for i in range(8))
+    assert all(got[i].startswith("Story") and "Subscribe" not in got[i] and "Home" not in got[i] and "reserved" not in got[i] for i in range(8, len(pages)))
+
+
+def test_a_text_on_few_pages_is_no_template(spark):
+    # Of the pages, the eight first by hash have a paragraph in common that the others do not have.
+    note = by_hash(spark, [soup(i).replace("<div>Subscribe", "<div>Told by our own reporter</div><div>Subscribe") for i in range(300)])[:8]
+    pages = [p for _, p in note] + [p for sign, p in by_hash(spark, [soup(300 + i) for i in range(60)]) if sign > note[-1][0]]
+    rows = [(i, f"http://soup.example/{i}", p.replace("<body>", "<body><article>")) for i, p in enumerate(pages)]
+    rows += [(1000 + i, url.replace("soup", "bare"), p) for (i, url, _), p in zip(rows, pages)]
+    got = {r.page_id: r.text for r in pages_of.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    template, content = pages_of.induce(pages)
+    for i, page in enumerate(pages):
+        assert got[1000 + i] == pages_of.extract(page, set(template), content)
+        assert "Subscribe" not in got[i] and ("Told by our own reporter" in got[i]) == (i < 8)
+
+
+def test_wrapper_equals_alignment_of_every_two_pages(spark):
+    menu, legal = "<div><a href=/>Home</a> <a href=/n>News</a></div>", "<div>All rights reserved by us</div>"
+    pages = [f"<html><body>{menu}<div><h2>Title {i}</h2><p>{f'word{i} ' * (10 + i)}</p>{'<p>Read more</p>' * (i % 3)}</div>"
+             f"{'<div>Sign up here</div>' if i % 5 else ''}{'<ul><li>One<li>Two</ul>' if i % 2 else ''}{legal}</body></html>" for i in range(20)]
+    # Pages that are template alone, and near copies.
+    pages += [f"<html><body>{menu}{'<br>' * i}{legal}</body></html>" for i in range(3)]
+    pages += [pages[7].replace("</h2>", f", copy {i}</h2>") for i in range(8)]
+    rows = [(k, f"http://{k % 2}.example/{k}", p) for k, p in enumerate([p for p in pages for _ in range(4)])]
+    template, content = pages_of.induce(pages)
+    assert len(template) >= 3 and content
+    got = {r.page_id: r.text for r in pages_of.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == pages_of.extract(p, set(template), content) for k, _, p in rows)

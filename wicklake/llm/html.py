@@ -6,23 +6,24 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wicklake.llm.common import staged, text_batches
 
-# Pages of a host that its wrapper is induced from, and nodes of a page that take part.
-SAMPLE_PAGES = 8
+# Nodes of a page that take part in aligning.
 MOST_NODES = 1500
 MOST_DEPTH = 60
-# A text is template if it stands in the same place of so many of the sampled pages.
+# A text is template if it stands in the same place of so many of the host's pages.
 TEMPLATE_SHARE = 0.75
 LEAST_PAGES = 3
+# Every text that so many of the host's pages have is on a page that all others are aligned to.
+OFTEN_SHARE = 0.5
 # Pages with more of their text in common are copies of each other and say nothing about the template.
 COPY_SHARE = 0.5
 
@@ -44,6 +45,7 @@ TOP = frozenset("header masthead topbar".split())
 MAIN = ("article", "main")
 
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_LEAF = re.compile(r"p|h[1-6]|li")
 
 
 class Node:
@@ -242,6 +244,41 @@ def _paths(item: _Item, prefix: str = "") -> Iterator[tuple[str, _Item]]:
         stack.extend((here, k) for k in reversed(at.kids))
 
 
+class _Page:
+    """A page to align: its tree, the paths of the tree's nodes, and the length of its text."""
+
+    def __init__(self, root: Node):
+        self.tree = _items(root)
+        self.paths = [(path, item) for path, item in _paths(self.tree) if item.text]
+        self.marks = {id(item): _fingerprint(path, item.text) for path, item in self.paths}
+        self.total = sum(len(item.text) for _, item in self.paths)
+
+    def repeated(self, other: _Item) -> list[int] | None:
+        """Fingerprints of the texts that aligned nodes of the other page repeat, each once; None if the pages are copies of each other."""
+        _, pairs = match(self.tree, other)
+        same = [a for a, b in pairs if a.text and a.text == b.text]
+        if sum(len(a.text) for a in same) > COPY_SHARE * self.total:
+            return None
+        return list({self.marks[id(a)] for a in same})
+
+    def holders(self, template: set[int]) -> list[str]:
+        """Paths of the elements that hold most of the page's varying text outside of links."""
+        slots: list[tuple[str, int]] = []
+        for path, item in self.paths:
+            if self.marks[id(item)] not in template and not _side_path(path):
+                plain = len(item.text) - sum(len(_text(k)) for k in item.node.kids if isinstance(k, Node) and k.tag == "a")
+                slots.append((path, max(plain, 0)))
+        every = _sums(slots)
+        heavy = {path for path, k in every.items() if 2 * k > max(every.values())}
+        seen = _sums([(path, k) for path, k in slots if not _side_path(path, heavy)])
+        top = max(seen.values(), default=0)
+        return [path for path, k in seen.items() if top and k >= 0.8 * top and not _LEAF.fullmatch(path.rpartition("/")[2].split(".")[0])]
+
+
+def _repeats(shared: int, peers: int) -> bool:
+    return shared >= max(LEAST_PAGES - 1, TEMPLATE_SHARE * peers)
+
+
 def induce(pages: list[str]) -> tuple[list[int], str]:
     """The wrapper of a host: fingerprints (path and text) of its template texts, and the path of its content.
 
@@ -249,41 +286,22 @@ def induce(pages: list[str]) -> tuple[list[int], str]:
     in all, is constant and so template; the rest are slots. Pages that are copies of each other are told apart from pages that
     share a template by how much of their text agrees, and do not count. The content is the deepest element that holds most
     of the slots' text outside of links; it is used for pages without an article or main element.
+
+    This is the plain form for a few pages; `main_text` aligns all pages of a host to some of them.
     """
-    trees = [_items(parse(p)) for p in pages]
-    named = [{id(item): path for path, item in _paths(tree)} for tree in trees]
+    read = [_Page(parse(p)) for p in pages]
     constant: Counter = Counter()
     peers: Counter = Counter()
-    for x, one in enumerate(trees):
-        for y, other in enumerate(trees):
-            if x == y:
-                continue
-            _, pairs = match(one, other)
-            same = [a for a, b in pairs if a.text and a.text == b.text]
-            total = sum(len(i.text) for _, i in _paths(one))
-            if sum(len(a.text) for a in same) > COPY_SHARE * total:
-                continue
-            peers[x] += 1
-            for a in same:
-                constant[x, _fingerprint(named[x][id(a)], a.text)] += 1
-    template = sorted({f for (x, f), k in constant.items() if k >= max(LEAST_PAGES - 1, TEMPLATE_SHARE * peers[x])})
-    known = set(template)
-    weight: Counter = Counter()
-    for tree, paths in zip(trees, named):
-        slots: list[tuple[str, int]] = []
-        for path, item in _paths(tree):
-            if item.text and _fingerprint(path, item.text) not in known and not _side_path(path):
-                plain = len(item.text) - sum(len(_text(k)) for k in item.node.kids if isinstance(k, Node) and k.tag == "a")
-                slots.append((path, max(plain, 0)))
-        every = _sums(slots)
-        heavy = {path for path, k in every.items() if 2 * k > max(every.values())}
-        seen = _sums([(path, k) for path, k in slots if not _side_path(path, heavy)])
-        top = max(seen.values(), default=0)
-        for path, k in seen.items():
-            if top and k >= 0.8 * top:
-                weight[path] += 1
-    holders = [p for p, k in weight.items() if k >= 0.5 * len(pages) and not re.fullmatch(r"p|h[1-6]|li", p.rpartition("/")[2].split(".")[0])]
-    return template, max(holders, key=lambda p: (p.count("/"), p), default="")
+    for x, one in enumerate(read):
+        for y, other in enumerate(read):
+            same = one.repeated(other.tree) if x != y else None
+            if same is not None:
+                peers[x] += 1
+                constant.update((x, f) for f in same)
+    template = {f for (x, f), k in constant.items() if _repeats(k, peers[x])}
+    weight = Counter(path for page in read for path in page.holders(template))
+    holders = [p for p, k in weight.items() if k >= 0.5 * len(pages)]
+    return sorted(template), max(holders, key=lambda p: (p.count("/"), p), default="")
 
 
 def _sums(slots: list[tuple[str, int]]) -> dict[str, int]:
@@ -367,12 +385,9 @@ def _own_is_template(node: Node, path: str, template: set[int]) -> bool:
     return bool(text) and _fingerprint(path, text) in template
 
 
-def _mains(root: Node, content: str, heavy: set[int]) -> list[tuple[str, Node, bool]]:
-    """Where the main text is: outermost article elements, else main, else the content path, else all.
-
-    Elements outside of those named as something else come first, then those in a named one that has most of the varying text.
-    An article or main element in any other named one counts if there is no other and no content path.
-    """
+def _places(root: Node, content: str, heavy: set[int]) -> dict[str, list[list]]:
+    """Outermost article elements, main and body elements, and those at the content path: outside of elements named as something
+    else, in a named one that has most of the varying text, and in any other named one."""
     found: dict[str, list[list]] = {kind: [[], [], []] for kind in ("article", "main", "content", "body")}
     stack: list[tuple[str, Node, bool, int]] = [(f"/{root.label}", root, False, 0)]
     while stack:
@@ -389,18 +404,118 @@ def _mains(root: Node, content: str, heavy: set[int]) -> list[tuple[str, Node, b
         if content and path == content and node.tag in BLOCKS:
             found["content"][rank].append((path, node, True))
         stack.extend((f"{path}/{k.label}" if k.tag in BLOCKS else path, k, inside or node.tag in MAIN, rank) for k in reversed(node.kids) if isinstance(k, Node))
+    return found
+
+
+def _mains(root: Node, content: str, heavy: set[int]) -> list[tuple[str, Node, bool]]:
+    """Where the main text is: outermost article elements, else main, else the content path, else all.
+
+    Elements outside of those named as something else come first, then those in a named one that has most of the varying text.
+    An article or main element in any other named one counts if there is no other and no content path.
+    """
+    found = _places(root, content, heavy)
     for kind, rank in (("article", 0), ("article", 1), ("main", 0), ("main", 1), ("content", 0), ("content", 1), ("article", 2), ("main", 2), ("body", 0)):
         if found[kind][rank]:
             return found[kind][rank]
     return [(f"/{root.label}", root, False)]
 
 
-def main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+@lru_cache(maxsize=32)
+def _model(html: str) -> _Page:
+    return _Page(parse(html))
+
+
+def _outlines(signed: DataFrame) -> DataFrame:
+    """(host, sign, bare, total, texts) of each different page: whether no article or main element is sure to be its main text, the
+    length of its text, and the fingerprint and length of each of its texts."""
+    names = ["host", "sign", "bare", "total", "texts"]
+    texts = pa.list_(pa.struct([("mark", pa.int64()), ("chars", pa.int64())]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bare, total, found = [], [], []
+            for html in batch["html"].to_pylist():
+                root = parse(html)
+                places = _places(root, "", set())
+                page, chars = _Page(root), Counter()
+                for _, item in page.paths:
+                    chars[page.marks[id(item)]] += len(item.text)
+                bare.append(not (places["article"][0] or places["main"][0]))
+                total.append(page.total)
+                found.append([{"mark": mark, "chars": k} for mark, k in chars.items()])
+            yield pa.RecordBatch.from_arrays(
+                [batch["host"], batch["sign"], pa.array(bare, pa.bool_()), pa.array(total, pa.int64()), pa.array(found, texts)], names)
+
+    rows = signed.mapInArrow(read, "host string, sign long, bare boolean, total long, texts array<struct<mark: long, chars: long>>")
+    return rows.dropDuplicates(["host", "sign"])
+
+
+def _models(signed: DataFrame, outlines: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, models): the pages (sign, html) that all pages of the host are aligned to.
+
+    Each text that OFTEN_SHARE of all pages have is on one of them: of the pages with it, one of those with the least share of such
+    texts, so that others are not taken for its copies, and of those the shortest.
+    """
+    each = outlines.select("host", "sign", "total", F.inline("texts"))
+    often = staged(each.groupBy("host", "mark").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_PAGES).join(hosts, "host")
+                   .filter(F.col("n") >= OFTEN_SHARE * F.col("pages")).select("host", "mark"), "often")
+    shared = each.join(often, ["host", "mark"]).groupBy("host", "sign", "total").agg(F.sum("chars").alias("shared"), F.collect_list("mark").alias("marks"))
+    # All shares up to a half are as good.
+    order = F.struct(F.greatest(F.floor(4 * F.col("shared") / F.col("total")), F.lit(1)), "total", "sign")
+    chosen = staged(shared.select("host", order.alias("rank"), F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.min("rank").alias("rank"))
+                    .select("host", "rank.sign").distinct(), "chosen")
+    return (signed.join(chosen, ["host", "sign"], "left_semi").dropDuplicates(["host", "sign"])
+            .groupBy("host").agg(F.collect_list(F.struct("sign", "html")).alias("models")))
+
+
+def _templates(signed: DataFrame, models: DataFrame) -> DataFrame:
+    """(host, template): fingerprints of the texts that aligned nodes repeat, by the counts of `induce` over all pages of the host."""
+    names = ["host", "model", "sign", "same"]
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, sign, html, models in zip(*(batch[c].to_pylist() for c in ("host", "sign", "html", "models"))):
+                tree = _items(parse(html))
+                rows += [(host, m["sign"], sign, _model(m["html"]).repeated(tree)) for m in models if m["sign"] != sign]
+            columns = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())))], names)
+
+    met = staged(signed.join(models, "host").mapInArrow(align, "host string, model long, sign long, same array<long>")
+                 .filter("same IS NOT NULL").dropDuplicates(["host", "model", "sign"]), "met")
+    peers = met.groupBy("host", "model").agg(F.count("*").alias("peers"))
+    counts = met.select("host", "model", F.explode("same").alias("mark")).groupBy("host", "model", "mark").agg(F.count("*").alias("n"))
+    least = F.greatest(F.lit(LEAST_PAGES - 1), TEMPLATE_SHARE * F.col("peers"))
+    return (counts.join(peers, ["host", "model"]).filter(F.col("n") >= least)
+            .groupBy("host").agg(F.sort_array(F.collect_set("mark")).alias("template")))
+
+
+def _contents(signed: DataFrame, hosts: DataFrame, templates: DataFrame) -> DataFrame:
+    """(host, content): the deepest path that holds most of the varying text of half of all pages, for hosts with `bare` pages."""
+    names = ["host", "sign", "pages", "paths"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = [_Page(parse(h)).holders(set(t or ())) for h, t in zip(batch["html"].to_pylist(), batch["template"].to_pylist())]
+            columns = [*(batch[c] for c in names[:3]), pa.array(paths, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = (signed.join(hosts.filter("bare"), "host").join(templates, "host", "left").select("host", "sign", "pages", "html", "template")
+            .mapInArrow(read, "host string, sign long, pages long, paths array<string>"))
+    return (rows.dropDuplicates(["host", "sign"]).select("host", "pages", F.explode("paths").alias("path"))
+            .groupBy("host", "pages", "path").agg(F.count("*").alias("n")).filter(F.col("n") >= 0.5 * F.col("pages"))
+            .groupBy("host").agg(F.max_by("path", F.struct(F.size(F.split("path", "/")), "path")).alias("content")))
+
+
+def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of `pages` (page_id, url, html, ...).
 
-    For each host at most `sample_pages` different pages, the first by hash, are aligned to a wrapper: which texts are template and
-    where the content is. The wrapper is then joined to all pages of the host: Spark broadcasts the wrappers below its size
-    threshold and otherwise splits a host with very many pages. A host's group holds no more than the sample. Pages of a host that has fewer than LEAST_PAGES pages are read by element kinds, names
+    For each host a wrapper is induced from all its different pages: which texts are template and where the content is. Texts are
+    counted over all pages; all pages are aligned to a few that have every text that is often there; texts that aligned nodes
+    repeat are counted again. Only hashes, lengths and paths shuffle by page, and no group holds the pages of a host. The wrapper is
+    then joined to all pages of the host: Spark broadcasts the wrappers below its size threshold and otherwise splits a host with
+    very many pages. Pages of a host that has fewer than LEAST_PAGES different pages are read by element kinds, names
     and lengths of text alone. A null url is a host of its own, a null or empty html gives an empty text; repeated rows are answered each. Other
     columns are not read. No rows give no rows.
     """
@@ -408,21 +523,13 @@ def main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^:/?#]*:?//([^/?#]*)", 1)), F.lit(""))
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
     signed = plain.filter(F.length("html") > 0).select("host", "html", F.xxhash64("html").alias("sign"))
-    # Hashes are made distinct before they are numbered, so copies take no place of the sample.
-    numbered = signed.select("host", "sign").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("host").orderBy("sign")))
-    # Staged, a small table of them is broadcast, and the html of pages outside the sample is not shuffled.
-    chosen = staged(numbered.filter(F.col("nth") <= sample_pages).select("host", "sign"), "chosen")
-    copies = Window.partitionBy("host", "sign").orderBy(F.length("html"))
-    sample = (signed.join(chosen, ["host", "sign"], "left_semi").withColumn("nth", F.row_number().over(copies))
-              .filter("nth = 1").select("host", "html"))
-
-    def wrap(key: tuple, group: pa.Table) -> pa.Table:
-        different = sorted(set(group["html"].to_pylist()))
-        template, content = induce(different) if len(different) >= LEAST_PAGES else ([], "")
-        return pa.table({"host": pa.array([key[0].as_py()]), "template": pa.array([template], pa.list_(pa.int64())), "content": pa.array([content])})
-
-    # Staged, its size is known: a small table of wrappers is broadcast by Spark and the pages are not shuffled at all.
-    wrappers = staged(sample.groupBy("host").applyInArrow(wrap, "host string, template array<long>, content string"), "wrappers")
+    # Staged, the size of what is joined to the pages is known: Spark broadcasts a small table and does not shuffle their html.
+    outlines = staged(_outlines(signed), "outlines")
+    hosts = staged(outlines.groupBy("host").agg(F.count("*").alias("pages"), F.bool_or("bare").alias("bare")).filter(F.col("pages") >= LEAST_PAGES), "hosts")
+    templates = staged(_templates(signed, staged(_models(signed, outlines, hosts), "models")), "templates")
+    # The content path is not asked for where every page has an article or main element.
+    contents = staged(_contents(signed, hosts, templates), "contents")
+    wrappers = staged(templates.join(contents, "host", "full"), "wrappers")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
